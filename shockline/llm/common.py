@@ -6,7 +6,10 @@ import atexit
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -98,13 +101,33 @@ def connected_components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
 
 
 def block_pairs(members: DataFrame, key: list[str], order: str, block: int) -> DataFrame:
-    """Deal the members of each key out to tasks of at most two blocks, so that any two of them meet in one.
+    """Deal the members of each key out to tasks of about two blocks, so that any two of them meet in one.
 
-    Adds lo and hi, the numbers of the blocks that meet. A key with at most `block` members is in a
-    single task (0, 0). A member's block is a hash of `order`, so no window gathers a key.
+    Adds lo and hi, the numbers of the blocks that meet, and part, the member's own. A key with at
+    most `block` members is one task (0, 0); a member that is alone in its key meets nobody and goes.
+    A member's block is a hash of `order`, so no window gathers a key.
     """
-    counts = members.groupBy(*key).agg(F.count("*").alias("_n")).where(f"_n > {block}")
-    n = members.join(counts, key, "left").withColumn("_b", F.ceil(F.coalesce("_n", F.lit(1)) / F.lit(block)).cast("int"))
-    n = n.withColumn("_i", F.pmod(F.xxhash64(order), F.col("_b")).cast("int"))
+    counts = members.groupBy(*key).agg(F.count("*").alias("_n")).where("_n > 1")
+    n = members.join(counts, key).withColumn("_b", F.ceil(F.col("_n") / F.lit(block)).cast("int"))
+    n = n.withColumn("part", F.pmod(F.xxhash64(order), F.col("_b")).cast("int"))
     n = n.withColumn("_j", F.explode(F.sequence(F.lit(0), F.col("_b") - 1)))
-    return n.withColumn("lo", F.least("_i", "_j")).withColumn("hi", F.greatest("_i", "_j")).drop("_n", "_b", "_j").withColumnRenamed("_i", "part")
+    return n.withColumn("lo", F.least("part", "_j")).withColumn("hi", F.greatest("part", "_j")).drop("_n", "_b", "_j")
+
+
+def runs(batches: Iterator[pd.DataFrame], by: list[str]) -> Iterator[tuple[np.ndarray, pd.DataFrame]]:
+    """From batches sorted by the columns: whole runs of equal values, as bounds and the rows they cut."""
+    carry: pd.DataFrame | None = None
+    for b in batches:
+        if carry is not None:
+            b = pd.concat([carry, b], ignore_index=True)
+        if not len(b):
+            continue
+        v = b[by].to_numpy()
+        cut = np.flatnonzero((v[1:] != v[:-1]).any(axis=1)) + 1
+        if not len(cut):
+            carry = b
+            continue
+        yield np.r_[0, cut], b.iloc[: cut[-1]]
+        carry = b.iloc[cut[-1] :].reset_index(drop=True)
+    if carry is not None and len(carry):
+        yield np.array([0, len(carry)]), carry
