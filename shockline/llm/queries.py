@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, simhash, tokenfile
+from . import bpe, simhash, tokenfile, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_simhash_neardup": simhash.op2_simhash,
         "op3_byte_bpe": bpe.op3_bpe,
+        "op6_warc_roundtrip": warc.op6_warc,
         "op7_token_files": tokenfile.op7_token_files,
     }
 
