@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, simhash, tokenfile, warc
+from . import bpe, html, simhash, tokenfile, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -15,6 +15,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_byte_bpe": bpe.op3_bpe,
         "op6_warc_roundtrip": warc.op6_warc,
         "op7_token_files": tokenfile.op7_token_files,
+        "op10_html_text": html.op10_html,
     }
 
 
