@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, html, simhash, tokenfile, warc
+from . import bpe, html, simhash, tokenfile, topk, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_simhash_neardup": simhash.op2_simhash,
         "op3_byte_bpe": bpe.op3_bpe,
+        "op5_nra_topk": topk.op5_topk,
         "op6_warc_roundtrip": warc.op6_warc,
         "op7_token_files": tokenfile.op7_token_files,
         "op10_html_text": html.op10_html,
@@ -20,4 +21,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op5_nra_topk": topk.ORACLE}
