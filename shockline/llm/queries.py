@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, html, simhash, tokenfile, topk, warc
+from . import bpe, html, simhash, tokenfile, topk, toxicity, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_simhash_neardup": simhash.op2_simhash,
         "op3_byte_bpe": bpe.op3_bpe,
+        "op4_toxicity": toxicity.op4_toxicity,
         "op5_nra_topk": topk.op5_topk,
         "op6_warc_roundtrip": warc.op6_warc,
         "op7_token_files": tokenfile.op7_token_files,
