@@ -101,7 +101,10 @@ def fit(labels: np.ndarray, texts: list[np.ndarray], twins: list[np.ndarray | No
     pairs = [i for i, t in enumerate(twins) if t is not None]
     ra, ca = flat([texts[i] for i in pairs])
     rb, cb = flat([twins[i] for i in pairs])
-    w, b, k = np.zeros(len(chosen)), float(np.log(rate / (1 - rate))), len(chosen)
+    h, x, k = have[chosen], bad[chosen], len(chosen)
+    w = (np.log((x + 0.5) / (toxic + 1)) - np.log((h - x + 0.5) / (n - toxic + 1))) / 2  # start: half the log odds, as a word and its beginnings overlap
+    w[h == 0] = 0
+    b = float(np.log(rate / (1 - rate)))
     m, v, mb, vb = np.zeros(k), np.zeros(k), 0.0, 0.0
     for step in range(1, STEPS + 1):
         p = 1 / (1 + np.exp(-(b + np.bincount(r, w[c], n))))
