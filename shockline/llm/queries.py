@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, html, quality, simhash, tokenfile, topk, toxicity, warc
+from . import bpe, decontaminate, html, quality, simhash, tokenfile, topk, toxicity, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -17,10 +17,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_nra_topk": topk.op5_topk,
         "op6_warc_roundtrip": warc.op6_warc,
         "op7_token_files": tokenfile.op7_token_files,
+        "op8_decontaminate": decontaminate.op8_decontaminate,
         "op9_quality": quality.op9_quality,
         "op10_html_text": html.op10_html,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_nra_topk": topk.ORACLE}
+    return {"op5_nra_topk": topk.ORACLE, "op8_decontaminate": decontaminate.ORACLE}
