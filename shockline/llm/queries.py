@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, html, quality, simhash, tokenfile, topk, toxicity, warc
+from . import bpe, decontaminate, html, quality, simhash, substring, tokenfile, topk, toxicity, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_substring_dedup": substring.op1_repeats,
         "op2_simhash_neardup": simhash.op2_simhash,
         "op3_byte_bpe": bpe.op3_bpe,
         "op4_toxicity": toxicity.op4_toxicity,
