@@ -10,8 +10,9 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
 import struct
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 import regex
@@ -22,9 +23,6 @@ from .common import as_input, table
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 #: Cached pieces and prefixes of a Python worker; beyond that the cache is emptied, which changes no result.
 CACHE = 600_000
-#: A place between two pieces of the pattern wherever it occurs: before a space that a non-space follows.
-BOUNDARY = regex.compile(r" (?=\S)")
-_ODD = regex.compile(r" (?:\s|\Z)")
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -168,47 +166,55 @@ class LongPiece:
         return out[::-1]
 
 
-def plain(chunk: str) -> bool:
-    """A space and basic letters: a single piece of the pattern."""
-    return chunk[:1] == " " and chunk.isascii() and chunk[1:].isalpha()
+class ChunkCache(dict):
+    """Encodes texts chunk by chunk and remembers the chunks' ids, as little-endian 32-bit bytes.
 
+    The pattern always splits before a space that a non-space follows and at a line feed between
+    non-spaces. So a text whose white space is single spaces and line feeds is split there by str
+    methods. A key is a chunk without its leading space; after NONE it has none, after BREAK a line
+    feed stands before it. Other texts take the general way as a whole.
 
-class ChunkCache(dict):
-    """Chunk of text -> its ids as little-endian 32-bit bytes; what is missing is encoded piece by piece."""
+    piece(s): ids of a string that the pattern leaves in one piece; anything(s): ids of any string.
+    """
+
+    NONE, BREAK = "\x01", "\n\x01"
+    ODD = re.compile("[\x01\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+    SIGNS = frozenset(".,!?;:*%$#&|")
 
-    def __init__(self, pattern: str, encode):
+    def __init__(self, piece: Callable[[str], list[int]], anything: Callable[[str], list[int]], size: int = CACHE):
         super().__init__()
-        self.pattern, self.encode = regex.compile(pattern), encode
-
-    def __missing__(self, chunk: str) -> bytes:
-        ids: list[int] = []
-        for piece in (chunk,) if plain(chunk) else self.pattern.findall(chunk):
-            ids += self.encode(piece.encode("utf-8", "surrogatepass"))
-        out = struct.pack(f"<{len(ids)}I", *ids)
-        if len(chunk) <= 64:
-            if len(self) >= CACHE:
+        self.piece, self.anything, self.size = piece, anything, size
+
+    def __missing__(self, key: str) -> bytes:
+        if key.startswith(self.BREAK):
+            out = self["\x01\n"] + self[self.NONE + key[2:]]
+        else:
+            s = key[1:] if key[:1] == self.NONE else " " + key
+            word = s.lstrip(" ")
+            body = word.rstrip(".,!?;:*%$#&|")
+            if s.count(" ") > 1 or not body.isalpha() or max(body) > "\u024f":
+                ids = self.anything(s)
+                out = struct.pack(f"<{len(ids)}I", *ids)
+            elif len(body) == len(word):
+                ids = self.piece(s)
+                out = struct.pack(f"<{len(ids)}I", *ids)
+            else:  # letters, then signs: two pieces
+                out = self[key[: len(key) - len(word) + len(body)]] + self[self.NONE + word[len(body) :]]
+        if len(key) <= 64:
+            if len(self) >= self.size:
                 self.clear()
-            self[chunk] = out
+            self[key] = out
         return out
 
-
-def chunks(text: str) -> list[str]:
-    """Split where the pattern always splits: before each space that a non-space follows."""
-    parts = BOUNDARY.split(text) if _ODD.search(text) else text.split(" ")
-    out = [" " + p for p in parts]
-    out[0] = parts[0]
-    lines: list[str] = []
-    if "\n" not in text:
-        return out
-    for c in out:
-        # a line feed that a non-space follows stands alone before it
-        if "\n" in c and c.count("\n") == 1 and not c.endswith("\n") and not c.startswith("\n"):
-            a, b = c.split("\n")
-            if not a[-1].isspace() and not b[0].isspace():
-                lines += (a, "\n", b)
-                continue
-        lines.append(c)
-    return lines
+    def ids(self, text: str | None) -> bytes:
+        if not text:
+            return b""
+        if "  " in text or " \n" in text or "\n " in text or "\n\n" in text or text[0] in " \n" or text[-1] in " \n" or self.ODD.search(text):
+            ids = self.anything(text)
+            return struct.pack(f"<{len(ids)}I", *ids)
+        parts = text.replace("\n", " \n\x01").split(" ")
+        parts[0] = self.NONE + parts[0]
+        return b"".join(map(self.__getitem__, parts))
 
 
 _workers: dict[tuple[str, str], tuple[ChunkCache, dict[int, bytes]]] = {}
@@ -217,15 +223,12 @@ _workers: dict[tuple[str, str], tuple[ChunkCache, dict[int, bytes]]] = {}
 def worker(path: str, pattern: str) -> tuple[ChunkCache, dict[int, bytes]]:
     """One encoder for each Python worker and vocabulary, kept from task to task."""
     if (path, pattern) not in _workers:
-        e = PrefixEncoder(read_ranks(path))
-        _workers[path, pattern] = (ChunkCache(pattern, e.encode), e.token)
+        e, split = PrefixEncoder(read_ranks(path)), regex.compile(pattern)
+        pieces = lambda s: [i for p in split.findall(s) for i in e.encode(p.encode("utf-8", "surrogatepass"))]
+        _workers[path, pattern] = (ChunkCache(lambda s: e.encode(s.encode()), pieces), e.token)
     return _workers[path, pattern]
 
 
-def encode_bytes(text: str | None, cache: ChunkCache) -> bytes:
-    return b"".join(map(cache.__getitem__, chunks(text))) if text else b""
-
-
 def decode_bytes(ids: bytes, token: dict[int, bytes]) -> bytes:
     return b"".join(map(token.__getitem__, memoryview(ids).cast("I")))
 
@@ -242,7 +245,7 @@ def tokenize(docs: DataFrame, vocabulary: str, pattern: str, keep_ids: bool = Fa
         for b in batches:
             out = []
             for text in b["text"]:
-                ids = encode_bytes(text, cache)
+                ids = cache.ids(text)
                 row = (len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(decode_bytes(ids, token)).hexdigest())
                 out.append((*row, list(memoryview(ids).cast("i"))) if keep_ids else row)
             made = pd.DataFrame(out, columns=["n_tokens", "ids_sha256", "decoded_sha256"] + ["ids"] * keep_ids)

@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .bpe import chunks
+from .bpe import ChunkCache
 from .common import as_input, scratch_path, table, written
 from .files import make_folder, put, read_range
 
@@ -31,7 +31,6 @@ MAGIC = b"S8BTOKN1"
 #: (ids, bits) of selectors 1 to 14, widest count first. Selector 0 is the escape.
 FORMS = [(60, 1), (30, 2), (20, 3), (15, 4), (12, 5), (10, 6), (8, 7), (7, 8), (6, 10), (5, 12), (4, 15), (3, 20), (2, 30), (1, 60)]
 BLOCK_IDS, FILE_IDS = 1 << 16, 1 << 24
-CACHE = 600_000
 COUNT = np.array([1] + [c for c, _ in FORMS] + [0], np.int64)
 
 
@@ -143,31 +142,26 @@ def read_file(data: bytes) -> Iterator[tuple[int | None, int, np.ndarray]]:
         yield int(ids[d]) if has[d] else None, a, have[a - first : b - first]
 
 
-class LibraryCache(dict):
-    """Chunk of text -> ids by the tokenizers library, as bytes. Strings of special tokens are ordinary text."""
+def byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in a byte-level vocabulary: itself if it prints, else the next from 256 on."""
+    prints = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in prints]
+    return {b: chr(b) for b in prints} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
-    def __init__(self, path: str):
-        super().__init__()
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+def library(path: str) -> ChunkCache:
+    """Ids by the tokenizers library. Strings of special tokens are ordinary text."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer
 
-    def ids(self, text: str | None) -> np.ndarray:
-        if not text:
-            return np.empty(0, np.uint32)
-        parts = chunks(text)
-        if missing := list({c for c in parts if c not in self}):
-            if len(self) > CACHE:
-                self.clear()
-                missing = list(set(parts))
-            made = self.tokenizer.encode_batch_fast(missing, add_special_tokens=False)
-            self.update((c, struct.pack(f"<{len(e.ids)}I", *e.ids)) for c, e in zip(missing, made, strict=True))
-        return np.frombuffer(b"".join(map(self.__getitem__, parts)), np.uint32)
+    t, letters = Tokenizer.from_file(path), byte_letters()
+    t.encode_special_tokens = True
+    merge = t.model.tokenize
+    piece = lambda s: [x.id for x in merge(s.encode().decode("latin-1").translate(letters))]  # noqa: E731  what the library's splitter leaves whole
+    return ChunkCache(piece, lambda s: t.encode(s, add_special_tokens=False).ids, 1_000_000)
 
 
-_workers: dict[str, LibraryCache] = {}
+_workers: dict[str, ChunkCache] = {}
 
 
 def write_token_files(docs: DataFrame, vocabulary: str, folder: str, end_id: int = 0, file_ids: int = FILE_IDS) -> DataFrame:
@@ -180,9 +174,9 @@ def write_token_files(docs: DataFrame, vocabulary: str, folder: str, end_id: int
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         if vocabulary not in _workers:
-            _workers[vocabulary] = LibraryCache(vocabulary)
+            _workers[vocabulary] = library(vocabulary)
         cache, part, number, w = _workers[vocabulary], TaskContext.get().partitionId(), 0, Writer()
-        end = np.array([end_id], np.uint32)
+        end = struct.pack("<I", end_id)
 
         def close() -> pd.DataFrame:
             path = f"{folder}/part-{part:06d}-{number:04d}.s8b"
@@ -191,7 +185,7 @@ def write_token_files(docs: DataFrame, vocabulary: str, folder: str, end_id: int
 
         for b in batches:
             for doc_id, null, text in zip(b["doc_id"], b["no_id"], b["text"], strict=True):
-                w.add(None if null else int(doc_id), np.concatenate([cache.ids(text), end]))
+                w.add(None if null else int(doc_id), np.frombuffer(cache.ids(text) + end, np.uint32))
                 if w.n >= file_ids:
                     yield close()
                     number, w = number + 1, Writer()
