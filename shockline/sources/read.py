@@ -128,7 +128,7 @@ REPORT = ("Commodity", "Arrivals", "Arrival_Unit", "Variety", "Min_Price", "Max_
 def report_files(spark: SparkSession, path: str) -> DataFrame:
     """(path, sha256, content) of report files, the byte order mark removed."""
     raw = spark.read.format("binaryFile").load(path)
-    return raw.select("path", F.sha2("content", 256).alias("sha256"), F.regexp_replace(F.decode("content", F.lit("utf-8")), "^﻿", "").alias("content"))
+    return raw.select("path", F.sha2("content", 256).alias("sha256"), F.regexp_replace(F.decode("content", "utf-8"), "^﻿", "").alias("content"))
 
 
 def report_titles(files: DataFrame, title: str = TITLE) -> DataFrame:

@@ -58,16 +58,12 @@ def build(records: dict[str, DataFrame], markets: DataFrame, boundaries: DataFra
     if not silver["flood"].isStreaming:
         unresolved["flood"] = geography.unresolved_floods(silver["flood"], boundaries)
     if shocks.isStreaming:
-        shocks = shocks.withWatermark("shock_time", policy.duration) if not _marked(shocks, "shock_time") else shocks
-        prices = prices if _marked(prices, "event_time") else prices.withWatermark("event_time", policy.duration)
+        # a stream may have one event-time column: shock_time, which has the watermark from the first branch
+        shocks = shocks.drop("event_time")
     all_records = records["mandi"].unionByName(records["weather"]).unionByName(records["flood"])
     return Flow(validate.bronze(all_records), silver, dead, prices, shocks, unresolved, associate.associate(shocks, prices, ahead))
 
 
-def _marked(df: DataFrame, column: str) -> bool:
-    return "spark.watermarkDelayMs" in (df.schema[column].metadata or {})
-
-
 def start(spark: SparkSession, source: str, lake: str, checkpoints: str, policy: EventTimePolicy, ahead: LookAhead, format: str = "json", once: bool = False) -> list[StreamingQuery]:
     """All queries. Unresolved floods need an anti-join with themselves, so each batch of silver floods settles its own."""
     records = {n: read.broker_stream(spark, source, t, format) for n, t in TOPICS.items()}
