@@ -162,7 +162,7 @@ def market_shock_signals(spark, d):
     )
 
 
-@query(f"{_SIGNALS} SELECT shock_id, price_event_id, round(w, 2) AS shock_severity, round(pr, 2) AS price_decline, round(ro, 2) AS robust_abnormality, round(te, 2) AS temporal_proximity, 0.0 AS control_difference FROM scored WHERE enough")
+@query(f"{_SIGNALS} SELECT shock_id, price_event_id, round(w, 2) AS shock_severity, round(pr, 2) AS price_decline, round(ro, 2) AS robust_abnormality, round(te, 2) AS temporal_proximity, CAST(0 AS DOUBLE) AS control_difference FROM scored WHERE enough")
 def signal_components(spark, d):
     s = signals(spark, d).where("data_confidence.is_sufficient")
     return s.select("shock_id", "price_event_id", *(F.col("component_scores")[c].alias(c) for c in ("shock_severity", "price_decline", "robust_abnormality", "temporal_proximity", "control_difference")))
@@ -299,7 +299,7 @@ def normalize_mandi(spark, d):
 
 
 @query("""WITH r AS (SELECT c_custkey, CASE c_custkey % 5 WHEN 1 THEN 'missing_district' WHEN 2 THEN 'invalid_daily_departure_pct' WHEN 3 THEN 'negative_rainfall' END AS reason FROM customer)
-  SELECT c_custkey, reason, CASE WHEN reason IS NULL THEN sha256('imd|' || c_custkey || '|2024-06-30|2024-06-30T00:00:00+00:00') END AS event_id, CASE WHEN reason IS NULL THEN 45.5 END AS departure FROM r""")
+  SELECT c_custkey, reason, CASE WHEN reason IS NULL THEN sha256('imd|' || c_custkey || '|2024-06-30|2024-06-30T00:00:00+00:00') END AS event_id, CASE WHEN reason IS NULL THEN CAST(45.5 AS DOUBLE) END AS departure FROM r""")
 def normalize_weather(spark, d):
     k = F.col("c_custkey") % 5
     raw = table(spark, d, "customer").select(
