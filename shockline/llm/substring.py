@@ -198,13 +198,15 @@ def repeated_units(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame
     at = F.struct("doc_id", "start")
     sentences = every.where("kind = 0")
     classes = sentences.groupBy("uid").agg(F.min(at).alias("first"), F.max("doc_id").alias("highest")).where("first.doc_id <> highest")
-    shared = sentences.join(classes.select("uid", "first"), "uid").withColumn("class_id", F.col("uid"))
+    # written, so that the join has exchanges of its own and a uid that very many documents share is split
+    classes = written(classes.select("uid", "first"), "sentence_classes")
+    shared = sentences.join(classes, "uid").withColumn("class_id", F.col("uid"))
     paragraphs = every.where("kind = 1")
     distinct = written(paragraphs.groupBy("uid").agg(F.min(at).alias("first"), F.max("doc_id").alias("highest"), F.first("bands").alias("bands"), F.first("words").alias("words")), "paragraphs")
     component = connected_components(paragraph_links(docs, distinct, similarity)).withColumnRenamed("node", "uid")
     named = distinct.select("uid", "first", "highest").join(component, "uid", "left").withColumn("class_id", F.coalesce("component", "uid"))
     near = named.groupBy("class_id").agg(F.min("first").alias("first"), F.max("highest").alias("highest")).where("first.doc_id <> highest").select("class_id", "first")
-    near = named.select("uid", "class_id").join(near, "class_id")
+    near = written(named.select("uid", "class_id").join(near, "class_id"), "paragraph_classes")
     shared = shared.select("doc_id", "start", "words", "class_id", "first").unionByName(paragraphs.join(near, "uid").select("doc_id", "start", "words", "class_id", "first"))
     return shared.select("doc_id", "start", "words", "class_id", F.col("first.doc_id").alias("first_doc_id"), F.col("first").eqNullSafe(F.struct("doc_id", "start")).alias("first"))
 
