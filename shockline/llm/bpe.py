@@ -18,11 +18,11 @@ import pandas as pd
 import regex
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import as_input, table
+from .common import as_input, table, use_cache
 
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 #: Cached pieces and prefixes of a Python worker; beyond that the cache is emptied, which changes no result.
-CACHE = 600_000
+CACHE = 200_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -102,7 +102,7 @@ class PrefixEncoder:
         if len(piece) > 512:  # storing all prefixes of a long piece takes quadratic memory
             return LongPiece(self, piece).ids()
         last, pair, get, longest = self.last, self.pair, self.ranks.get, self.longest
-        if len(last) > 2 * self.cache:
+        if len(last) > self.cache:
             last.clear()
         if len(pair) > self.cache:
             pair.clear()
@@ -222,6 +222,7 @@ _workers: dict[tuple[str, str], tuple[ChunkCache, dict[int, bytes]]] = {}
 
 def worker(path: str, pattern: str) -> tuple[ChunkCache, dict[int, bytes]]:
     """One encoder for each Python worker and vocabulary, kept from task to task."""
+    use_cache("bpe", _workers.clear)
     if (path, pattern) not in _workers:
         e, split = PrefixEncoder(read_ranks(path)), regex.compile(pattern)
         pieces = lambda s: [i for p in split.findall(s) for i in e.encode(p.encode("utf-8", "surrogatepass"))]

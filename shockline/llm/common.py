@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import re
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,6 +22,19 @@ WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _made: list[tuple[SparkSession, str]] = []
 
 
+_caches: dict[str, Callable[[], object]] = {}
+
+
+def use_cache(owner: str, clear: Callable[[], object]) -> None:
+    """A Python worker runs tasks of many operators; it keeps the caches of the one it runs now only."""
+    if owner not in _caches:
+        for other in list(_caches):
+            _caches.pop(other)()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        _caches[owner] = clear
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import as_input, table
+from .common import as_input, table, use_cache
 from .labelled import held_out, labelled_rows
 
 #: Buckets of words (the first ones are marks), dimensions, non-zeros of an index vector.
@@ -30,7 +30,7 @@ ROWS_PER_PART, PARTS = 64, 64
 #: Bound of the fit: labelled rows. The vectors are from all documents.
 MOST_ROWS, HIDDEN, EPOCHS = 20_000, 32, 60
 SHRINK = 8
-_CACHE = 500_000
+_CACHE = 100_000
 RUNS = re.compile(r"\w+|[^\w\s]+")
 AGAIN, UPPER, TITLE, LOWER, DIGITS, MIXED, LONG = range(7)
 
@@ -58,6 +58,7 @@ class Words:
         return tuple(out)
 
     def of(self, text: str | None) -> np.ndarray:
+        use_cache("quality", self.seen.clear)
         chunks, out, before, seen = (text or "").split(), [], None, self.seen
         for c in chunks:
             if (got := seen.get(c)) is None:

@@ -21,12 +21,12 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import as_input, block_pairs, connected_components, runs, table, written
+from .common import as_input, block_pairs, connected_components, runs, table, use_cache, written
 
 SHINGLE, SIMILARITY, BANDS, ROWS = 5, 0.8, 8, 3
 LEAST_WORDS, PARAGRAPH_WORDS = 30, 20
 BLOCK, BROADCAST_DOCS = 256, 50_000
-_CACHE = 500_000
+_CACHE = 200_000
 _POWER = np.cumprod(np.full(1 << 12, 0x9E3779B97F4A7C15, np.uint64), dtype=np.uint64)
 _SEEDS = np.array([xxhash.xxh64_intdigest(f"minhash {i}") | 1 for i in range(2 * BANDS * ROWS)], np.uint64).reshape(2, -1)
 WORD = re.compile(r"\S+")
@@ -40,11 +40,14 @@ class WordHashes(dict):
         ends = word.rstrip("\"')]»”")[-1:] in (".", "!", "?")
         h = xxhash.xxh64_intdigest(word.lower().encode("utf-8", "replace")) & ~3 | ends | word[:1].isupper() << 1
         if len(self) > _CACHE:
-            self.clear()
-            self["\x00"] = 0
+            self.restart()
         self[word] = h
         return h
 
+    def restart(self) -> None:
+        self.clear()
+        self["\x00"] = 0
+
 
 _hashes = WordHashes({"\x00": 0})
 
@@ -57,6 +60,7 @@ def mixed(x: np.ndarray) -> np.ndarray:
 def word_hashes(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hashes of a text's words, the number of the line each is in, and whether a sentence may end after it:
     at its last sign, at a line end, or before a capital. All depend on the two words at the place alone."""
+    use_cache("substring", _hashes.restart)
     words = (text or "").replace("\x00", " ").replace("\n", " \x00 ").split()
     h = np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
     line = np.cumsum(h == 0)

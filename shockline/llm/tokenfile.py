@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .bpe import ChunkCache
-from .common import as_input, scratch_path, table, written
+from .common import as_input, scratch_path, table, use_cache, written
 from .files import make_folder, put, read_range
 
 MAGIC = b"S8BTOKN1"
@@ -173,6 +173,7 @@ def write_token_files(docs: DataFrame, vocabulary: str, folder: str, end_id: int
     make_folder(folder)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        use_cache("tokens", _workers.clear)
         if vocabulary not in _workers:
             _workers[vocabulary] = library(vocabulary)
         cache, part, number, w = _workers[vocabulary], TaskContext.get().partitionId(), 0, Writer()

@@ -15,7 +15,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import as_input, table
+from .common import as_input, table, use_cache
 from .labelled import held_out, labelled_rows
 
 #: Terms that name people; the terms of a line stand for one another.
@@ -40,7 +40,7 @@ MOST_ROWS, LEAST_TEXTS, LEAST_Z = 20_000, 4, 4.0
 PENALTY, RIDGE, STEPS = 4.0, 1e-4, 300
 LETTERS = re.compile(r"\w+")
 SWAP = {w: line[(i + 1) % len(line)] for g in IDENTITY if (line := g.split()) for i, w in enumerate(line)}
-_CACHE = 500_000
+_CACHE = 200_000
 
 
 def word_features(word: str) -> tuple[int, ...]:
@@ -160,6 +160,7 @@ def score(docs: DataFrame, model: dict, modulus: int = 5, fold: int = 0) -> Data
     key = xxhash.xxh64_intdigest(repr(sorted(model["weights"].items())) + repr(model["bias"]))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        use_cache("toxicity", _workers.clear)
         if key not in _workers:
             _workers.clear()
             _workers[key] = Features(set(model["weights"]))
