@@ -2,9 +2,10 @@
 
 A page is cut into blocks of text. Each page is paired with the page of its host whose URL path is
 nearest (next to it in path order, longest common beginning); the longest common subsequence of the
-two pages' lines is what the site repeats, and is deleted. Lines inside an article or main element
-are the page's own, so a copy of the article under another URL doesn't delete it, and lines of marked
-menus, headers, footers, sidebars, notices, adverts, forms and comments go in any case, shared or not.
+two pages' lines is what the site repeats, and is deleted, inside an article or main element and outside
+of it; all other lines stay. A page that shares more than half of the article is a copy of it: it says
+nothing about the lines inside. Lines of marked menus, headers, footers, sidebars, notices, adverts,
+forms and comments take no part and go in any case.
 """
 
 from __future__ import annotations
@@ -140,16 +141,34 @@ def common_lines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.concatenate([ends[0], lo + inner, ends[1]])
 
 
-def main_text(lines: list[tuple[str, bool, bool]], shared: set[int]) -> str:
-    """Joins what stays: lines of an article (or, without one, of the page) that are neither furniture nor shared."""
-    has = any(own and not junk for _, own, junk in lines)
-    return " ".join(t for k, (t, own, junk) in enumerate(lines) if not junk and (own or not has and k not in shared))
+def unmarked(html: str | None) -> list[tuple[str, bool]]:
+    """The page's lines without furniture: text, whether an article or main element holds it."""
+    return [(text, own) for text, own, junk in blocks(html) if not junk]
 
 
-def outside(lines: list[tuple[str, bool, bool]]) -> tuple[np.ndarray, np.ndarray]:
-    """Places and hashes of the lines that no article holds."""
-    at = [k for k, x in enumerate(lines) if not x[1]]
-    return np.array(at, np.int64), np.array([xxhash.xxh64_intdigest(lines[k][0].encode("utf-8", "replace")) >> 1 for k in at], np.int64)
+def compared(lines: list[tuple[str, bool]]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the lines, and their lengths, negative inside an article."""
+    hashes = [xxhash.xxh64_intdigest(t.encode("utf-8", "replace")) >> 1 for t, _ in lines]
+    return np.array(hashes, np.int64), np.array([-len(t) if own else len(t) for t, own in lines], np.int32)
+
+
+def repeated(own: np.ndarray, lengths: np.ndarray, near: list[np.ndarray]) -> np.ndarray:
+    """Places of the lines that the site repeats, by the first of the near pages that isn't a copy.
+
+    A page is a copy if no line or at most half of the article is left. If all are, the first one that leaves
+    some line decides outside of the article, and the article stays.
+    """
+    inside, other = np.minimum(lengths, 0), np.empty(0, np.int64)
+    for lines in near:
+        at = np.flatnonzero(np.isin(own, lines))
+        at = at[common_lines(own[at], lines[np.isin(lines, own)])]
+        if len(at) == len(own):
+            continue
+        if 2 * inside[at].sum() >= inside.sum():  # both are negative, or there is no article
+            return at
+        if not len(other):
+            other = at[lengths[at] > 0]
+    return other
 
 
 def extract(pages: DataFrame) -> DataFrame:
@@ -166,25 +185,26 @@ def extract(pages: DataFrame) -> DataFrame:
     def lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             where = [host_and_path(u) for u in b["url"]]
-            found = [outside(blocks(x)) for x in b["html"]]
-            yield b.drop(columns="html").assign(host=[x[0] for x in where], path=[x[1] for x in where], places=[x[0] for x in found], hashes=[x[1] for x in found])
+            found = [compared(unmarked(x)) for x in b["html"]]
+            yield b.drop(columns="html").assign(host=[x[0] for x in where], path=[x[1] for x in where], hashes=[x[0] for x in found], lengths=[x[1] for x in found])
 
     def differences(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             shared = []
-            for host, path, places, own, *near in zip(*(b[c] for c in ("host", "path", "places", "hashes", "before", "after")), strict=True):
+            for host, path, own, lengths, *near in zip(*(b[c] for c in ("host", "path", "hashes", "lengths", "before", "after")), strict=True):
                 near = [x for x in near if x is not None and x["host"] == host and not np.array_equal(x["hashes"], own)]
-                best = max(near, key=lambda x: common_start(path, x["path"]), default=None)
-                shared.append(places[common_lines(own, np.asarray(best["hashes"], np.int64))] if best is not None and len(own) else [])
+                near.sort(key=lambda x: -common_start(path, x["path"]))
+                shared.append(repeated(own, lengths, [np.asarray(x["hashes"], np.int64) for x in near]))
             yield b[["page_id", "url", "h"]].assign(shared=shared)
 
     def texts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            text = [main_text(blocks(x), set() if k is None else set(k)) for x, k in zip(b["html"], b["shared"], strict=True)]
+            gone = [set() if k is None else set(k) for k in b["shared"]]
+            text = [" ".join(t for at, (t, _) in enumerate(unmarked(x)) if at not in k) for x, k in zip(b["html"], gone, strict=True)]
             yield b[["page_id", "url"]].assign(text=text, n_chars=[len(t) for t in text])
 
     key = "page_id long, url string, h long"
-    cut = written(rows.mapInPandas(lines, f"{key}, host string, path string, places array<long>, hashes array<long>"), "page_lines")
+    cut = written(rows.mapInPandas(lines, f"{key}, host string, path string, hashes array<long>, lengths array<int>"), "page_lines")
     order = ["host", "path", "url", "page_id", "h"]
     sorted_rows = cut.repartitionByRange(*order).sortWithinPartitions(*order)
     sorted_rows = written(sorted_rows.withColumn("part", F.spark_partition_id()).withColumn("at", F.monotonically_increasing_id()), "page_order")
@@ -194,7 +214,7 @@ def extract(pages: DataFrame) -> DataFrame:
     ends = ends.select("part", F.lag("last").over(by_part).alias("left"), F.lead("first").over(by_part).alias("right"))
     inside = Window.partitionBy("part").orderBy("at")
     near = sorted_rows.withColumn("before", F.lag(page).over(inside)).withColumn("after", F.lead(page).over(inside)).join(ends, "part")
-    near = near.select(*order, "places", "hashes", F.coalesce("before", "left").alias("before"), F.coalesce("after", "right").alias("after"))
+    near = near.select(*order, "hashes", "lengths", F.coalesce("before", "left").alias("before"), F.coalesce("after", "right").alias("after"))
     found = near.mapInPandas(differences, f"{key}, shared array<long>").where("size(shared) > 0").dropDuplicates(["page_id", "url", "h"])
     same = F.col("p.page_id").eqNullSafe(F.col("s.page_id")) & F.col("p.url").eqNullSafe(F.col("s.url")) & F.col("p.h").eqNullSafe(F.col("s.h"))
     joined = rows.alias("p").join(written(found, "page_shared").alias("s"), same, "left").select("p.page_id", "p.url", "p.html", "s.shared")

@@ -244,6 +244,14 @@ def test_copies_under_several_addresses_keep_their_text(spark):
     assert texts(spark, [(i, f"http://h/{i}", one) for i in range(4)]) == [(i, "Main words Other words", 22) for i in range(4)]
 
 
+def test_lines_are_deleted_where_the_nearest_page_has_them(spark):
+    """Inside an article and outside; a line that no neighbour shares stays, and so does a copied article."""
+    one, two = ("<article><p>Sign up for our letter</p><p>{0} story in an article with some words</p></article><div>{0} body outside of it</div><p>All rights reserved</p>".replace("{0}", x) for x in ("First", "Second"))
+    assert texts(spark, [(1, "http://h/a", one), (2, "http://h/b", two)]) == [(i, f"{x} story in an article with some words {x} body outside of it", len(x) * 2 + 56) for i, x in ((1, "First"), (2, "Second"))]
+    copies = [(i, f"http://h/{i}", one + f"<div>Seen at address {i}</div>") for i in (1, 2)]
+    assert [x[1] for x in texts(spark, copies)] == [f"Sign up for our letter First story in an article with some words Seen at address {i}" for i in (1, 2)]
+
+
 def test_query_10(spark):
     rows = spark.read.parquet(f"{SF}/pages.parquet").collect()
     got = {r.page_id: r.text for r in page.op10_html(spark, SF).collect()}
