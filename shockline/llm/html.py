@@ -1,7 +1,7 @@
 """Main text of web pages by nearest-URL differencing (operator 10).
 
 A page is cut into blocks of text. Each page is paired with the page of its host whose URL path is
-nearest (next to it in path order, longest common beginning); the longest common subsequence of the
+nearest (near it in path order, longest common beginning); the longest common subsequence of the
 two pages' lines is what the site repeats, and is deleted, inside an article or main element and outside
 of it; all other lines stay. A page that shares more than half of the article is a copy of it: it says
 nothing about the lines inside. Lines of marked menus, headers, footers, sidebars, notices, adverts,
@@ -11,7 +11,7 @@ forms and comments take no part and go in any case.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from html import unescape
 
 import numpy as np
@@ -25,6 +25,8 @@ from .common import as_input, table, written
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|</?([a-zA-Z][^\s/>]*)((?>[^>\"']+|\"[^\"]*\"|'[^']*')*+|[^>]*)>|[^<]+|<", re.S)
 ATTRIBUTE = re.compile(r"""([^\s=/]+)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s>]+))?""")
 SPACE = re.compile(r"\s+")
+#: Neighbours in path order that a page may be compared with, on each side.
+NEAR = 2
 # Element names of the HTML standard, and what sites call their furniture.
 RAW = {"script", "style", "noscript", "template", "textarea", "title", "iframe", "svg", "math", "object", "select", "button", "canvas", "audio", "video", "noembed", "noframes", "xmp"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
@@ -175,10 +177,10 @@ def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars for each row of pages.
 
     Null or empty html gives an empty text. A null url has the empty host and path. Repeated rows give
-    a row each (and are each other's nearest page). Further columns are ignored. Pages are dealt out by
-    ranges of host and path, so a host of any size is spread over tasks; the pages at the borders of
-    the ranges take their neighbours from a small table of two rows a range. A neighbour with the very
-    same lines is a copy that shows nothing about the site, and is passed over.
+    a row each. Further columns are ignored. Pages of a host with the very same lines are compared once,
+    at the first of their paths, and all get its result; so a neighbour always differs. What is left is
+    dealt out by ranges of host and path, so a host of any size is spread over tasks; the pages at the
+    borders of the ranges take their neighbours, two on each side, from a small table of a row a range.
     """
     rows = as_input(pages, {"page_id": "long", "url": "string", "html": "string"}).withColumn("h", F.xxhash64("html"))
 
@@ -186,16 +188,22 @@ def extract(pages: DataFrame) -> DataFrame:
         for b in batches:
             where = [host_and_path(u) for u in b["url"]]
             found = [compared(unmarked(x)) for x in b["html"]]
-            yield b.drop(columns="html").assign(host=[x[0] for x in where], path=[x[1] for x in where], hashes=[x[0] for x in found], lengths=[x[1] for x in found])
+            same = [xxhash.xxh64_intdigest(h.tobytes() + n.tobytes()) >> 1 for h, n in found]
+            yield b.drop(columns="html").assign(host=[x[0] for x in where], path=[x[1] for x in where], same=same, hashes=[x[0] for x in found], lengths=[x[1] for x in found])
 
     def differences(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             shared = []
-            for host, path, own, lengths, *near in zip(*(b[c] for c in ("host", "path", "hashes", "lengths", "before", "after")), strict=True):
-                near = [x for x in near if x is not None and x["host"] == host and not np.array_equal(x["hashes"], own)]
-                near.sort(key=lambda x: -common_start(path, x["path"]))
-                shared.append(repeated(own, lengths, [np.asarray(x["hashes"], np.int64) for x in near]))
-            yield b[["page_id", "url", "h"]].assign(shared=shared)
+            columns = (b[c] for c in ("host", "path", "hashes", "lengths", "left", "before", "after", "right"))
+            for host, path, own, lengths, left, before, after, right in zip(*columns, strict=True):
+                sides = (pages_of(left) + pages_of(before))[: -NEAR - 1 : -1], (pages_of(after) + pages_of(right))[:NEAR]
+                near = [(-common_start(path, x["path"]), k, x["hashes"]) for side in sides for k, x in enumerate(side) if x["host"] == host]
+                near.sort(key=lambda x: x[:2])
+                shared.append(repeated(own, lengths, [np.asarray(x[2], np.int64) for x in near]))
+            yield b[["host", "same"]].assign(shared=shared)
+
+    def pages_of(found: Iterable | None) -> list:
+        return [] if found is None else [x for x in found if x is not None]
 
     def texts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -204,20 +212,25 @@ def extract(pages: DataFrame) -> DataFrame:
             yield b[["page_id", "url"]].assign(text=text, n_chars=[len(t) for t in text])
 
     key = "page_id long, url string, h long"
-    cut = written(rows.mapInPandas(lines, f"{key}, host string, path string, hashes array<long>, lengths array<int>"), "page_lines")
-    order = ["host", "path", "url", "page_id", "h"]
-    sorted_rows = cut.repartitionByRange(*order).sortWithinPartitions(*order)
+    cut = written(rows.mapInPandas(lines, f"{key}, host string, path string, same long, hashes array<long>, lengths array<int>"), "page_lines")
+    distinct = cut.groupBy("host", "same").agg(F.min("path").alias("path"), F.first("hashes").alias("hashes"), F.first("lengths").alias("lengths"))
+    order = ["host", "path", "same"]
+    sorted_rows = distinct.repartitionByRange(*order).sortWithinPartitions(*order)
     sorted_rows = written(sorted_rows.withColumn("part", F.spark_partition_id()).withColumn("at", F.monotonically_increasing_id()), "page_order")
-    page = F.struct("host", "path", "hashes")
-    ends = sorted_rows.groupBy("part").agg(F.min_by(page, "at").alias("first"), F.max_by(page, "at").alias("last"))
+    page, inside = F.struct("host", "path", "hashes"), Window.partitionBy("part").orderBy("at")
+    near = sorted_rows.withColumn("before", F.array(*(F.lag(page, k).over(inside) for k in range(NEAR, 0, -1))))
+    near = near.withColumn("after", F.array(*(F.lead(page, k).over(inside) for k in range(1, NEAR + 1))))
+    first, last = F.slice(F.concat(F.array(page), "after"), 1, NEAR), F.slice(F.concat("before", F.array(page)), -NEAR, NEAR)
+    ends = near.groupBy("part").agg(F.min_by(first, "at").alias("first"), F.max_by(last, "at").alias("last"))
     by_part = Window.orderBy("part")  # one row a range
     ends = ends.select("part", F.lag("last").over(by_part).alias("left"), F.lead("first").over(by_part).alias("right"))
-    inside = Window.partitionBy("part").orderBy("at")
-    near = sorted_rows.withColumn("before", F.lag(page).over(inside)).withColumn("after", F.lead(page).over(inside)).join(ends, "part")
-    near = near.select(*order, "hashes", "lengths", F.coalesce("before", "left").alias("before"), F.coalesce("after", "right").alias("after"))
-    found = near.mapInPandas(differences, f"{key}, shared array<long>").where("size(shared) > 0").dropDuplicates(["page_id", "url", "h"])
+    near = near.join(ends, "part").select(*order, "hashes", "lengths", "left", "before", "after", "right")
+    # written, so that the join has exchanges of its own and lines that very many pages have are split
+    found = written(near.mapInPandas(differences, "host string, same long, shared array<long>").where("size(shared) > 0"), "line_shared")
+    found = written(cut.select("page_id", "url", "h", "host", "same").join(found, ["host", "same"]).drop("host", "same"), "page_shared")
+    found = found.dropDuplicates(["page_id", "url", "h"])
     same = F.col("p.page_id").eqNullSafe(F.col("s.page_id")) & F.col("p.url").eqNullSafe(F.col("s.url")) & F.col("p.h").eqNullSafe(F.col("s.h"))
-    joined = rows.alias("p").join(written(found, "page_shared").alias("s"), same, "left").select("p.page_id", "p.url", "p.html", "s.shared")
+    joined = rows.alias("p").join(found.alias("s"), same, "left").select("p.page_id", "p.url", "p.html", "s.shared")
     return joined.mapInPandas(texts, "page_id long, url string, text string, n_chars long")
 
 

@@ -252,6 +252,12 @@ def test_lines_are_deleted_where_the_nearest_page_has_them(spark):
     assert [x[1] for x in texts(spark, copies)] == [f"Sign up for our letter First story in an article with some words Seen at address {i}" for i in (1, 2)]
 
 
+def test_copies_beside_a_page_that_differs_get_one_text(spark):
+    one = "<div>Unmarked site line</div><div>Main words</div>"
+    rows = [(i, f"http://h/{i}", one) for i in range(1, 8)] + [(9, "http://h/9", one.replace("Main", "Last"))]
+    assert texts(spark, rows) == [(i, "Main words", 10) for i in range(1, 8)] + [(9, "Last words", 10)]
+
+
 def test_query_10(spark):
     rows = spark.read.parquet(f"{SF}/pages.parquet").collect()
     got = {r.page_id: r.text for r in page.op10_html(spark, SF).collect()}
