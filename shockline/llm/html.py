@@ -5,7 +5,8 @@ nearest (near it in path order, longest common beginning); the longest common su
 two pages' lines is what the site repeats, and is deleted, inside an article or main element and outside
 of it; all other lines stay. A page that shares more than half of the article is a copy of it: it says
 nothing about the lines inside. Lines of marked menus, headers, footers, sidebars, notices, adverts,
-forms and comments take no part and go in any case.
+forms and comments take no part and go in any case; a class or id marks by its whole name, and never an
+element that holds most of the article or of the page.
 """
 
 from __future__ import annotations
@@ -31,36 +32,47 @@ NEAR = 2
 RAW = {"script", "style", "noscript", "template", "textarea", "title", "iframe", "svg", "math", "object", "select", "button", "canvas", "audio", "video", "noembed", "noframes", "xmp"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "ins", "kbd", "label", "mark", "q", "ruby", "rb", "rp", "rt", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr", "img", "nobr"}
-FURNITURE = {"nav", "footer", "aside", "form", "menu", "dialog", "head"}
+FURNITURE = {"nav", "footer", "aside", "menu", "dialog", "head"}
 OWN = {"article", "main"}
-ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "alert", "alertdialog", "dialog", "menu", "menubar"}
-MARKS = re.compile(r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|banner|sponsor\w*|promo\w*|nav\w*|menu\w*|breadcrumbs?|footer|masthead|sidebar|side|widget\w*|cookies?\w*|consent|gdpr|notices?|newsletter|subscribe|popup|modal|overlay|share|sharing|social|related|recommend\w*|comments?|commentlist|respond|replies|disqus|toolbar|pagination|pager|skip)(?:$|[\s_-])", re.I)
+ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "alert", "alertdialog", "dialog", "menu", "menubar"}
+# A class or id marks an element if all parts of the name are of these words, and one is of the first kind.
+MARK = r"(?:ads?|advert\w*|adsense|banner|sponsor\w*|promo\w*|nav\w*|menu\w*|breadcrumbs?|footer|masthead|sidebar|widget\w*|cookies?\w*|consent|gdpr|notices?|newsletter|subscribe|popup|modal|overlay|share|sharing|social|related|recommend\w*|comments?|commentlist|respond|replies|disqus|toolbar|pagination|pager|skip)"
+PLACE = r"(?:bar|box|wrap|wrapper|container|list|area|section|items?|links?|block|unit|slot|holder|panel|icons?|buttons?|btns?|form|top|bottom|left|right|inner|outer|site|page|posts?|articles?|entry|global|main|primary|secondary|tertiary|mobile|desktop|google|email|\d+(?:x\d+)?)"
+MARKS = re.compile(rf"(?:^|\s)(?:{PLACE}[_-]+)*{MARK}(?:[_-]+(?:{MARK}|{PLACE}))*(?:$|\s)", re.I)
+#: Marked beside an article, an element with most of the page's text is kept from so many characters.
+LONG = 500
 
 
-def furniture(tag: str, attributes: str, inside: bool) -> bool:
+def furniture(tag: str, attributes: str, inside: bool) -> tuple[bool, bool]:
+    """Whether the element is furniture, and whether only its name says so."""
     if tag in FURNITURE or tag == "header" and not inside:
-        return True
-    if not attributes or tag in OWN or tag in ("html", "body"):
-        return False
-    for name, value in ATTRIBUTE.findall(attributes):
+        return True, False
+    if tag in OWN or tag in ("html", "body"):
+        return False, False
+    named = tag == "form"
+    for name, value in ATTRIBUTE.findall(attributes or ""):
         name, value = name.lower(), value.strip("\"'")
         if name == "hidden" or name == "aria-hidden" and value.lower() == "true" or name == "role" and value.lower() in ROLES:
-            return True
-        if name in ("class", "id") and MARKS.search(value):
-            return True
-    return False
+            return True, False
+        named = named or name in ("class", "id") and bool(MARKS.search(value)) or name == "role" and value.lower() == "form"
+    return False, named
 
 
 def blocks(html: str | None) -> list[tuple[str, bool, bool]]:
-    """The page's lines in order: text, whether an article or main element holds it, whether furniture does."""
-    out: list[tuple[str, bool, bool]] = []
+    """The page's lines in order: text, whether an article or main element holds it, whether furniture does.
+
+    An element that is marked by its name alone is none if it holds most of the articles' text, or of the page's.
+    """
+    out: list[tuple[str, bool, bool, int]] = []
     text: list[str] = []
-    stack: list[tuple[str, bool, bool]] = []  # element, holds own text, furniture
-    own = junk = False
+    top = (False, False, 0)
+    stack: list[tuple[str, bool, bool, int]] = []  # element, holds own text, furniture, the marked element around
+    over, before = [0], [False]  # of marked elements: the one around, whether an article is
+    own, junk, mark = top
 
     def close() -> None:
         if text and (line := SPACE.sub(" ", unescape("".join(text))).strip()):
-            out.append((line, own, junk))
+            out.append((line, own, junk, mark))
         text.clear()
 
     at, html = 0, html or ""
@@ -77,7 +89,7 @@ def blocks(html: str | None) -> list[tuple[str, bool, bool]]:
             for k in range(len(stack) - 1, -1, -1):
                 if stack[k][0] == tag:
                     del stack[k:]
-                    own, junk = (stack[-1][1], stack[-1][2]) if stack else (False, False)
+                    own, junk, mark = stack[-1][1:] if stack else top
                     break
             continue
         if tag in RAW:
@@ -96,15 +108,32 @@ def blocks(html: str | None) -> list[tuple[str, bool, bool]]:
             for k in range(len(stack) - 1, -1, -1):
                 if stack[k][0] == tag:
                     del stack[k:]
-                    own, junk = (stack[-1][1], stack[-1][2]) if stack else (False, False)
+                    own, junk, mark = stack[-1][1:] if stack else top
                     break
                 if stack[k][0] not in INLINE:
                     break
-        junk = junk or furniture(tag, m[2], own)
+        sure, named = furniture(tag, m[2], own)
+        junk = junk or sure
+        if named and not junk:
+            over.append(mark)
+            before.append(own)
+            mark = len(over) - 1
         own = own or tag in OWN
-        stack.append((tag, own, junk))
+        stack.append((tag, own, junk, mark))
     close()
-    return out
+    # characters that each marked element holds: of lines in articles, and of all lines
+    held = np.zeros((len(over), 2), np.int64)
+    for line, own, junk, mark in out:
+        if not junk:
+            held[mark] += own * len(line), len(line)
+    for k in range(len(over) - 1, 0, -1):
+        held[over[k]] += held[k]
+    (articles, every), gone = held[0].tolist(), [False] * len(over)
+    for k in range(1, len(over)):
+        a, n = held[k].tolist()
+        most = 2 * a > articles or 2 * n > every and (not articles or n >= LONG and not before[k])
+        gone[k] = gone[over[k]] or not most
+    return [(line, own, junk or gone[mark]) for line, own, junk, mark in out]
 
 
 def host_and_path(url: str | None) -> tuple[str, str]:

@@ -258,6 +258,13 @@ def test_copies_beside_a_page_that_differs_get_one_text(spark):
     assert texts(spark, rows) == [(i, "Main words", 10) for i in range(1, 8)] + [(9, "Last words", 10)]
 
 
+@pytest.mark.parametrize("name", ["has-sidebar", "no-sidebar", "content-with-sidebar", "side-by-side", "related-work", "sidebar", "site-nav", "wide comments"])
+def test_a_wrapper_with_a_name_of_furniture_keeps_the_page(name):
+    inner = "<article><p>Main words of the page</p></article><div class='post-comments'>Nice!</div><div id='ad-slot'>Buy</div>"
+    for html in (f"<div id='page' class='{name}'>{inner}</div>", f"<div id='{name}'><div>{inner}</div></div>", f"<form class='{name}'>{inner.replace('article', 'div')}</form>"):
+        assert page.unmarked(html) in ([("Main words of the page", own)] for own in (True, False))
+
+
 def test_query_10(spark):
     rows = spark.read.parquet(f"{SF}/pages.parquet").collect()
     got = {r.page_id: r.text for r in page.op10_html(spark, SF).collect()}
