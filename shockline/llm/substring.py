@@ -5,8 +5,10 @@ MinHash of their five-word shingles in 8 bands of 3 rows: at a Jaccard similarit
 collides in some band with a probability of 0.997. Paragraphs that collide are verified by their exact
 Jaccard similarity, and the components of the verified links are classes. Sentences (of five words or
 more; shorter ones join the one before) are classes by equality, so a passage is also found where it
-stands inside another paragraph. A run of repeated units of at least 30 words is a repeated passage;
-each class keeps its first occurrence.
+stands inside another paragraph. Seeds are windows of 20 words, chosen by winnowing so that any 50 words
+in a row that two documents share hold a common one; a seed is extended word by word to both sides, as
+far as the class's first occurrence goes on equally, so borders within long sentences are found too. A run
+of repeated units of at least 30 words is a repeated passage; each class keeps its first occurrence.
 """
 
 from __future__ import annotations
@@ -26,11 +28,15 @@ from .common import as_input, block_pairs, connected_components, runs, table, us
 SHINGLE, SIMILARITY, BANDS, ROWS = 5, 0.8, 8, 3
 LEAST_WORDS, PARAGRAPH_WORDS = 30, 20
 BLOCK, BROADCAST_DOCS = 256, 50_000
+#: Words of a seed (four shingles), windows of which one is a seed: 20 + 31 - 1 words hold one. Different words that a seed needs.
+SEED, WINNOW, VARIED = 20, 31, 10
+#: Words of a batch after which its units are handed on.
+FLUSH = 1 << 20
 _CACHE = 200_000
 _POWER = np.cumprod(np.full(1 << 12, 0x9E3779B97F4A7C15, np.uint64), dtype=np.uint64)
 _SEEDS = np.array([xxhash.xxh64_intdigest(f"minhash {i}") | 1 for i in range(2 * BANDS * ROWS)], np.uint64).reshape(2, -1)
 WORD = re.compile(r"\S+")
-UNITS = pa.schema([("doc_id", pa.int64()), ("kind", pa.int32()), ("start", pa.int32()), ("words", pa.int32()), ("uid", pa.int64()), ("bands", pa.list_(pa.int64()))])
+UNITS = pa.schema([("doc_id", pa.int64()), ("kind", pa.int32()), ("start", pa.int32()), ("words", pa.int32()), ("uid", pa.int64()), ("bands", pa.list_(pa.int64())), ("around", pa.binary())])
 
 
 class WordHashes(dict):
@@ -108,29 +114,62 @@ def units(h: np.ndarray, line: np.ndarray, ends: np.ndarray) -> tuple[list[np.nd
     return sentences, [p, size, uid], bands
 
 
+def seeds(h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and uids of a text's seeds, and 16 bits of each of the words before and after them; 0 is no word.
+
+    A seed with few different words, as of a text that repeats one word, is left out.
+    """
+    side = WINNOW - 1
+    if len(h) < SEED:
+        return np.empty(0, np.int64), np.empty(0, np.uint64), np.empty((0, 2 * side), np.uint16)
+    g = shingles(h)
+    for step in (SHINGLE, 2 * SHINGLE):
+        g = mixed(g[:-step] * _POWER[1] + mixed(g[step:]))
+    at = np.lib.stride_tricks.sliding_window_view(g, min(WINNOW, len(g))).argmin(axis=1)
+    at = np.unique(at + np.arange(len(at)))
+    own = np.sort(h[at[:, None] + np.arange(SEED)], axis=1)
+    at = at[(own[:, 1:] != own[:, :-1]).sum(axis=1) + 1 >= VARIED]
+    short = np.zeros(len(h) + 2 * side, np.uint16)
+    short[side : side + len(h)] = (mixed(h) >> np.uint64(48)) | np.uint64(1)
+    around = np.r_[np.arange(side), side + SEED + np.arange(side)]
+    return at, g[at], short[at[:, None] + around]
+
+
 def all_units(docs: DataFrame) -> DataFrame:
-    """Sentences (kind 0) and paragraphs (kind 1, with bands) of each document."""
+    """Sentences (kind 0), paragraphs (kind 1, with bands) and seeds (kind 2, with words around) of each document."""
+
+    def of(made: list[tuple]) -> Iterator[pa.RecordBatch]:
+        for kind in (0, 1, 2):
+            rows = [m[1 + kind] for m in made]
+            if total := sum(len(r[0]) for r in rows):
+                flat = [np.concatenate([r[k] for r in rows]) for k in range(3)]
+                ids = np.repeat([m[0] for m in made], [len(r[0]) for r in rows])
+                bands, around = pa.nulls(total, pa.list_(pa.int64())), pa.nulls(total, pa.binary())
+                if kind == 1:
+                    bands = pa.ListArray.from_arrays(np.arange(total + 1, dtype=np.int32) * BANDS, np.concatenate([m[4] for m in made]).ravel().view(np.int64))
+                if kind == 2:
+                    words = pa.py_buffer(np.concatenate([m[5] for m in made]).tobytes())
+                    around = pa.FixedSizeBinaryArray.from_buffers(pa.binary(words.size // total), total, [None, words]).cast(pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(np.full(total, kind), pa.int32()), pa.array(flat[0], pa.int32()), pa.array(flat[1], pa.int32()), pa.array(flat[2].view(np.int64)), bands, around], schema=UNITS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             made: list[tuple] = []
+            n = 0
             for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist(), strict=True):
                 found = word_hashes(text)
                 if len(found[0]):
-                    made.append((doc_id, *units(*found)))
-            for kind in (0, 1):
-                rows = [m[1 + kind] for m in made]
-                if total := sum(len(r[0]) for r in rows):
-                    flat = [np.concatenate([r[k] for r in rows]) for k in range(3)]
-                    ids = np.repeat([m[0] for m in made], [len(r[0]) for r in rows])
-                    if kind:
-                        bands = pa.ListArray.from_arrays(np.arange(total + 1, dtype=np.int32) * BANDS, np.concatenate([m[3] for m in made]).ravel().view(np.int64))
-                    else:
-                        bands = pa.nulls(total, pa.list_(pa.int64()))
-                    yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(np.full(total, kind), pa.int32()), pa.array(flat[0], pa.int32()), pa.array(flat[1], pa.int32()), pa.array(flat[2].view(np.int64)), bands], schema=UNITS)
+                    sentences, paragraphs, bands = units(*found)
+                    start, uid, around = seeds(found[0])
+                    made.append((doc_id, sentences, paragraphs, [start, np.full(len(start), SEED), uid], bands, around))
+                    n += len(found[0])
+                if n > FLUSH:
+                    yield from of(made)
+                    made, n = [], 0
+            yield from of(made)
 
     rows = as_input(docs, {"doc_id": "long", "text": "string"}).where("doc_id is not null")
-    return rows.mapInArrow(run, "doc_id long, kind int, start int, words int, uid long, bands array<long>")
+    return rows.mapInArrow(run, "doc_id long, kind int, start int, words int, uid long, bands array<long>, around binary")
 
 
 def jaccard_links(sets: list[np.ndarray], least: float) -> tuple[np.ndarray, np.ndarray]:
@@ -196,6 +235,34 @@ def paragraph_links(docs: DataFrame, distinct: DataFrame, similarity: float, blo
     return dealt.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi").mapInPandas(verify, "src long, dst long")
 
 
+def seed_units(every: DataFrame) -> DataFrame:
+    """doc_id, start, words, class_id, first: seeds whose class spans several documents, extended.
+
+    Each occurrence is extended along the first one; that one as far as some other goes.
+    """
+    own = every.where("kind = 2")
+    occurrence = F.struct("doc_id", "start", "around")
+    classes = own.groupBy("uid").agg(F.min(occurrence).alias("first"), F.max("doc_id").alias("highest")).where("first.doc_id <> highest")
+    classes = written(classes.select("uid", "first"), "seed_classes")
+    pairs = own.join(classes, "uid").where("doc_id <> first.doc_id or start <> first.start")
+    pairs = pairs.select("doc_id", "start", "uid", F.col("first.doc_id").alias("f_doc"), F.col("first.start").alias("f_start"), "around", F.col("first.around").alias("f_around"))
+
+    def extend(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        side = WINNOW - 1
+        for b in batches:
+            x, y = (np.frombuffer(b"".join(b[c]), np.uint16).reshape(-1, 2 * side) for c in ("around", "f_around"))
+            same = (x == y) & (x != 0)
+            left, right = (np.logical_and.accumulate(part, axis=1).sum(axis=1, dtype=np.int32) for part in (same[:, :side][:, ::-1], same[:, side:]))
+            yield b[["doc_id", "start", "uid", "f_doc", "f_start"]].assign(left=left, right=right)
+
+    found = written(pairs.mapInPandas(extend, "doc_id long, start int, uid long, f_doc long, f_start int, left int, right int"), "seeds_extended")
+    firsts = found.groupBy("uid", "f_doc", "f_start").agg(F.max("left").alias("left"), F.max("right").alias("right"))
+    place, first = [(F.col("start") - F.col("left")).alias("start"), (F.col("left") + F.col("right") + SEED).alias("words"), F.col("uid").alias("class_id")], F.struct(F.col("f_doc").alias("doc_id"), F.col("f_start").alias("start")).alias("first")
+    others = found.select("doc_id", *place, first, F.lit(False).alias("is_first"))
+    firsts = firsts.withColumn("start", F.col("f_start")).select(F.col("f_doc").alias("doc_id"), *place, first, F.lit(True).alias("is_first"))
+    return others.unionByName(firsts)
+
+
 def repeated_units(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """doc_id, start, words, class_id, first_doc_id, first: units whose class spans several documents."""
     every = written(all_units(docs), "units")
@@ -212,7 +279,8 @@ def repeated_units(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame
     near = named.groupBy("class_id").agg(F.min("first").alias("first"), F.max("highest").alias("highest")).where("first.doc_id <> highest").select("class_id", "first")
     near = written(named.select("uid", "class_id").join(near, "class_id"), "paragraph_classes")
     shared = shared.select("doc_id", "start", "words", "class_id", "first").unionByName(paragraphs.join(near, "uid").select("doc_id", "start", "words", "class_id", "first"))
-    return shared.select("doc_id", "start", "words", "class_id", F.col("first.doc_id").alias("first_doc_id"), F.col("first").eqNullSafe(F.struct("doc_id", "start")).alias("first"))
+    shared = shared.withColumn("is_first", F.col("first").eqNullSafe(F.struct("doc_id", "start"))).unionByName(seed_units(every))
+    return shared.select("doc_id", "start", "words", "class_id", F.col("first.doc_id").alias("first_doc_id"), F.col("is_first").alias("first"))
 
 
 def passages(shared: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:

@@ -148,6 +148,16 @@ def test_repeated_passages_and_clean_documents(spark, corpus):
     assert substring.repeats(frame.where("false")).count() == 0
 
 
+def test_shared_runs_with_borders_in_long_sentences(spark):
+    r = random.Random(12)
+    plain = lambda n: " ".join("".join(r.choice("aeioubcdlmnrst") for _ in range(r.randint(3, 8))) for _ in range(n))
+    runs = [plain(n) for n in (50, 50, 81, 120)]
+    docs = {2 * k + i: f"{plain(70 + 9 * i)} {run} {plain(60)}." for k, run in enumerate(runs) for i in (0, 1)}
+    frame = spark.createDataFrame([*docs.items()], "doc_id long, text string")
+    got = {(x.doc_id, x.start_word, x.n_words, x.first_doc_id, x.removable) for x in substring.repeats(frame).collect()}
+    assert got == {(2 * k + i, 70 + 9 * i, len(run.split()), 2 * k, i == 1) for k, run in enumerate(runs) for i in (0, 1)}
+
+
 def test_one_document_repeats_nothing(spark, corpus):
     docs, passage = corpus
     frame = spark.createDataFrame([(1, f"{passage}\n{passage}"), (1, passage)], "doc_id long, text string")
