@@ -157,13 +157,28 @@ def links(points: DataFrame, radius: int = 3, block: int = BLOCK, refine: int =
     return dealt.mapInPandas(run, "src long, dst long")
 
 
-def fingerprints(docs: DataFrame) -> DataFrame:
+def fingerprints(docs: DataFrame, with_hash: bool = False) -> DataFrame:
+    """doc_id, fp and, if asked for, a hash h of the text."""
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             fp = np.array([fingerprint(t) for t in b["text"]], np.uint64).view(np.int64)
-            yield pd.DataFrame({"doc_id": b["doc_id"].array, "fp": fp})
+            yield pd.DataFrame({"doc_id": b["doc_id"].array, "fp": fp} | ({"h": b["h"].array} if with_hash else {}))
+
+    rows = as_input(docs, {"doc_id": "long", "text": "string"})
+    if with_hash:
+        return rows.withColumn("h", F.xxhash64("text")).mapInPandas(run, "doc_id long, fp long, h long")
+    return rows.mapInPandas(run, "doc_id long, fp long")
 
-    return as_input(docs, {"doc_id": "long", "text": "string"}).mapInPandas(run, "doc_id long, fp long")
+
+def components(fps: DataFrame, radius: int, block: int = BLOCK, refine: int = REFINE) -> DataFrame:
+    """fp, component, component_id: the smallest doc_id that each distinct fingerprint reaches."""
+    points = fps.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    component = connected_components(links(points.select("fp"), radius, block, refine))
+    joined = points.join(component.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
+    joined = written(joined, "components")
+    least = joined.groupBy("component").agg(F.min("least").alias("component_id"))
+    return joined.join(least, "component").select("fp", "component", "component_id")
 
 
 def near_duplicates(docs: DataFrame, radius: int = 3, block: int = BLOCK, refine: int = REFINE) -> DataFrame:
@@ -174,23 +189,20 @@ def near_duplicates(docs: DataFrame, radius: int = 3, block: int = BLOCK, refine
     Further columns are ignored.
     """
     fps = written(fingerprints(docs), "fingerprints")
-    points = fps.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    component = connected_components(links(points.select("fp"), radius, block, refine))
-    joined = points.join(component.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
-    joined = written(joined, "components")
-    least = joined.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = joined.join(least, "component").select("fp", "component_id")
+    named = components(fps, radius, block, refine).select("fp", "component_id")
     return fps.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def keep_one(docs: DataFrame, radius: int = 3) -> DataFrame:
-    """docs without all but the smallest doc_id of each component; equal rows of that id become one.
+    """docs with one row of each component: that of the smallest doc_id, or of a null one if it has no other.
 
-    Rows with a null doc_id stay only if their component has no id at all, one for each text.
+    Of several texts of that id in the component the one of the smallest hash stays; equal rows become one.
     """
-    found = written(near_duplicates(docs, radius).select("doc_id", "component_id"), "decisions")
-    gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    kept = docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+    fps = written(fingerprints(docs, with_hash=True), "fingerprints")
+    rows = fps.join(components(fps, radius).select("fp", "component"), "fp")
+    best = rows.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h")).alias("best"))
+    best = written(best.select(F.col("best.doc_id").alias("_id"), F.col("best.h").alias("_h")).distinct(), "decisions")
+    kept = docs.join(best, docs["doc_id"].cast("long").eqNullSafe(best["_id"]) & (F.xxhash64(docs["text"].cast("string")) == best["_h"]), "left_semi")
     return kept.dropDuplicates(["doc_id", "text"])
 
 

@@ -109,6 +109,13 @@ def test_simhash_edge_cases(spark):
     assert simhash.near_duplicates(docs.where("false")).count() == 0
 
 
+def test_each_component_keeps_one_row(spark):
+    rows = [(None, "same words here"), (None, "Same words here"), (4, "SAME words here"), (4, "same Words here"), (None, "alone in the world"), (None, "Alone in the world"), (4, "another text of that id")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [(r.doc_id, r.text.lower()) for r in simhash.keep_one(docs).collect()]
+    assert sorted(got, key=str) == [(4, "another text of that id"), (4, "same words here"), (None, "alone in the world")]
+
+
 # ---- operator 1 -------------------------------------------------------------------------------------
 
 
