@@ -4,8 +4,8 @@ Each dimension of a block of candidates is a list sorted by value, read from the
 query component and from the bottom for a negative one. At a common depth of all lists, a candidate's
 score lies between a lower bound (unread components at the worst value of their list) and an upper
 bound (unread components at the value that the list would give next). Candidates whose upper bound is
-below the k-th best lower bound are out; reading goes deeper for the others until what is left is
-exact. The bounds of a block of queries are matrix products, so no list is walked row by row.
+below the k-th best lower bound are out. The lists are read once, to a fixed depth, and the others are
+scored from their whole rows, which is random access: no test stops the reading. The bounds of a block of queries are matrix products, so no list is walked row by row.
 """
 
 from __future__ import annotations
