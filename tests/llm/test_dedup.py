@@ -219,6 +219,25 @@ def test_decontamination(spark):
     assert pairs(spark, docs, []) == set() and pairs(spark, [], [(10, ITEM)]) == set()
 
 
+MARIA = "{0} has {2} apples and gives 5 of them to her brother. {0} then buys 7 more apples at the market. {1} eats 3 of the apples before dinner. How many apples does {0} have now?"
+
+
+def test_names_at_the_begin_of_a_sentence(spark):
+    item, other = MARIA.format("Maria", "Tom", 12), MARIA.format("Olga", "Jim", 31)
+    broken = other.replace("does Olga", "does Vera").replace("Jim eats 3", "Vera eats 9")
+    assert pairs(spark, [(1, f"so {other}"), (2, other), (3, "Maria and Olga have apples.")], [(10, item)]) == {(1, 10), (2, 10)}
+    assert (5, 10) not in pairs(spark, [(5, broken.replace("Olga then", "Petra then"))], [(10, item)])
+
+
+def test_a_literal_copy_needs_no_consistent_slots(spark):
+    assert pairs(spark, [(1, f"well {ITEM}".replace("for 3 kg of", "for 2 kg of"))], [(10, ITEM)]) == {(1, 10)}
+
+
+@pytest.mark.parametrize("run", ["Aa " * 50_000, "1." * 50_000, "a" * 200_000, "x Ab" * 50_000, "1" * 200_000])
+def test_very_long_runs(spark, run):
+    assert pairs(spark, [(1, f"{run} then {ITEM}"), (2, run)], [(10, ITEM)]) == {(1, 10)}
+
+
 def test_decontamination_equals_sql(spark, duck):
     got = sorted(tuple(r) for r in decontaminate.op8_decontaminate(spark, SF).select("doc_id", "item_id", "matched", "windows", "slots").collect())
     assert got == sorted(duck.sql(decontaminate.ORACLE).fetchall())
