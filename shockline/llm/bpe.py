@@ -10,19 +10,25 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import re
-import struct
+from array import array
 from collections.abc import Callable, Iterator
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import as_input, table, use_cache
+from .common import as_input, slices, table, use_cache
 
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
-#: Cached pieces and prefixes of a Python worker; beyond that the cache is emptied, which changes no result.
-CACHE = 200_000
+#: Cached pieces and prefixes of a Python worker: a cache holds up to twice as many, the newer half and the older
+#: one. When the newer half is full it becomes the older one, whose entries come back as they are met again.
+CACHE = 250_000
+#: Bytes for which the tokens that end them are remembered.
+TAIL = 4
+#: Bytes of text that are cut into chunks at a time.
+STEP = 8 << 20
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -35,11 +41,16 @@ class PrefixEncoder:
 
     def __init__(self, ranks: dict[bytes, int], cache: int = CACHE):
         self.ranks = ranks
+        #: All ends of tokens that are longer than TAIL bytes: their rank, or -1 where an end is no token itself.
+        self.ends = {b[k:]: -1 for b in ranks for k in range(1, len(b) - TAIL)} | {b: t for b, t in ranks.items() if len(b) > TAIL}
+        #: For up to TAIL bytes: length and rank of the tokens that end them, longest first.
+        self.tails: dict[bytes, list[tuple[int, int]]] = {}
         self.token = {i: b for b, i in ranks.items()}
         self.length = {i: len(b) for b, i in ranks.items()}
         self.longest = max(map(len, ranks), default=1)
         self.cache = cache
         self.last: dict[bytes, int] = {}
+        self.older: dict[bytes, int] = {}
         self.pair: dict[int, bool] = {}
         self.half: dict[int, tuple[int, int] | None] = {}
 
@@ -101,30 +112,42 @@ class PrefixEncoder:
             return [t]
         if len(piece) > 512:  # storing all prefixes of a long piece takes quadratic memory
             return LongPiece(self, piece).ids()
-        last, pair, get, longest = self.last, self.pair, self.ranks.get, self.longest
-        if len(last) > self.cache:
-            last.clear()
-        if len(pair) > self.cache:
-            pair.clear()
-        total = n = len(piece)
-        while n and piece[:n] not in last:
-            n -= 1
-        while n < total:
-            n += 1
-            prefix = piece[:n]
-            for k in range(n - longest if n > longest else 0, n):
-                if (t := get(prefix[k:])) is not None:
-                    if k:
-                        both = last[prefix[:k]] << 20 | t
-                        if (ok := pair.get(both)) is None:
-                            ok = pair[both] = self.stands(t) and self.fits(both >> 20, t)
-                    else:
-                        ok = self.stands(t)
-                    if ok:
-                        last[prefix] = t
-                        break
+        if len(self.last) > self.cache:
+            self.last, self.older = {}, self.last
+        if len(self.pair) > self.cache:
+            self.pair.clear()
+        last, older, pair, tails, ends = self.last, self.older, self.pair, self.tails, self.ends
+        known = total = len(piece)
+        while known and (prefix := piece[:known]) not in last:
+            if prefix in older:  # and with it all of its own prefixes
+                for k in range(1, known + 1):
+                    last[piece[:k]] = older[piece[:k]]
+                break
+            known -= 1
+        for n in range(known + 1, total + 1):
+            tail = piece[n - TAIL if n > TAIL else 0 : n]
+            if (found := tails.get(tail)) is None:
+                found = tails[tail] = [(len(tail) - k, t) for k in range(len(tail)) if (t := self.ranks.get(tail[k:])) is not None]
+            if n > TAIL and (t := ends.get(piece[n - TAIL - 1 : n])) is not None:
+                found, size = found[:], TAIL + 1
+                while t is not None:
+                    if t >= 0:
+                        found.insert(0, (size, t))
+                    size += 1
+                    t = ends.get(piece[n - size : n]) if size <= n else None
+            for size, t in found:
+                if size < n:
+                    both = last[piece[: n - size]] << 20 | t
+                    if (ok := pair.get(both)) is None:
+                        ok = pair[both] = self.stands(t) and self.fits(both >> 20, t)
+                else:
+                    ok = self.stands(t)
+                if ok:
+                    last[piece[:n]] = t
+                    break
             else:
                 raise ValueError("the ranks have no token for a byte")
+        n = total
         out, length = [], self.length
         while n:
             out.append(t := last[piece[:n]])
@@ -153,10 +176,18 @@ class LongPiece:
                 raise ValueError("the ranks have no token for a byte")
 
     def edit(self, at: int, removed: int, inserted: bytes) -> None:
-        """Replace `removed` bytes at `at`; prefixes before the edit keep their entries."""
-        tail = bytes(self.bytes[at + removed :])
+        """Replace `removed` bytes at `at`. Prefixes before the edit keep their entries, and so do those behind it
+        from where as many in a row as the longest token has bytes came out as before: an entry depends on no others."""
+        tail, old = bytes(self.bytes[at + removed :]), self.last[at + removed :]
         del self.bytes[at:], self.last[at:]
-        self.append(inserted + tail)
+        self.append(inserted)
+        same, done = 0, 0
+        while done < len(tail) and same < self.encoder.longest:
+            self.append(tail[done : done + 1])
+            same = same + 1 if self.last[-1] == old[done] else 0
+            done += 1
+        self.bytes += tail[done:]
+        self.last += old[done:]
 
     def ids(self) -> list[int]:
         out, n = [], len(self.bytes)
@@ -178,62 +209,98 @@ class ChunkCache(dict):
     """
 
     NONE, BREAK = "\x01", "\n\x01"
-    ODD = re.compile("[\x01\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
-    SIGNS = frozenset(".,!?;:*%$#&|")
+    ODD = r"\A[ \n]|[ \n]\z|[ \n][ \n]|[\x01\t\r\v\f\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+    SIGNS = ".,!?;:*%$#&|"
 
     def __init__(self, piece: Callable[[str], list[int]], anything: Callable[[str], list[int]], size: int = CACHE):
         super().__init__()
-        self.piece, self.anything, self.size = piece, anything, size
+        self.piece, self.anything, self.size, self.older = piece, anything, size, {}
+
+    def clear(self) -> None:
+        super().clear()
+        self.older = {}
 
     def __missing__(self, key: str) -> bytes:
-        if key.startswith(self.BREAK):
-            out = self["\x01\n"] + self[self.NONE + key[2:]]
-        else:
-            s = key[1:] if key[:1] == self.NONE else " " + key
-            word = s.lstrip(" ")
-            body = word.rstrip(".,!?;:*%$#&|")
-            if s.count(" ") > 1 or not body.isalpha() or max(body) > "\u024f":
-                ids = self.anything(s)
-                out = struct.pack(f"<{len(ids)}I", *ids)
-            elif len(body) == len(word):
-                ids = self.piece(s)
-                out = struct.pack(f"<{len(ids)}I", *ids)
-            else:  # letters, then signs: two pieces
-                out = self[key[: len(key) - len(word) + len(body)]] + self[self.NONE + word[len(body) :]]
+        if (out := self.older.get(key)) is None:
+            out = self.made(key)
         if len(key) <= 64:
             if len(self) >= self.size:
-                self.clear()
+                self.older = dict(self)
+                super().clear()
             self[key] = out
         return out
 
-    def ids(self, text: str | None) -> bytes:
-        if not text:
-            return b""
-        if "  " in text or " \n" in text or "\n " in text or "\n\n" in text or text[0] in " \n" or text[-1] in " \n" or self.ODD.search(text):
-            ids = self.anything(text)
-            return struct.pack(f"<{len(ids)}I", *ids)
-        parts = text.replace("\n", " \n\x01").split(" ")
-        parts[0] = self.NONE + parts[0]
-        return b"".join(map(self.__getitem__, parts))
-
-
-_workers: dict[tuple[str, str], tuple[ChunkCache, dict[int, bytes]]] = {}
-
-
-def worker(path: str, pattern: str) -> tuple[ChunkCache, dict[int, bytes]]:
+    def made(self, key: str) -> bytes:
+        first = key[:1]
+        if first.isalpha() and key.isalpha() and (key.isascii() or max(key) <= "\u024f"):
+            return array("I", self.piece(" " + key)).tobytes()
+        if key.startswith(self.BREAK):
+            return self["\x01\n"] + self[self.NONE + key[2:]]
+        s = key[1:] if first == self.NONE else " " + key
+        word = s.lstrip(" ")
+        body = word.rstrip(self.SIGNS)
+        if s.count(" ") > 1 or not body.isalpha() or max(body) > "\u024f":
+            ids = self.anything(s)
+        elif len(body) == len(word):
+            ids = self.piece(s)
+        else:  # letters, then signs: two pieces
+            return self[key[: len(key) - len(word) + len(body)]] + self[self.NONE + word[len(body) :]]
+        return array("I", ids).tobytes()
+
+    def ids(self, texts: pa.Array, step: int = 1 << 19) -> list[np.ndarray]:
+        """Ids of each text as unsigned 32-bit integers; none for a null. Each distinct chunk is looked up once."""
+        texts = pc.fill_null(texts, "")
+        odd = pc.match_substring_regex(texts, self.ODD)
+        marked = pc.replace_substring(pc.binary_join_element_wise(self.NONE, pc.if_else(odd, "", texts), ""), "\n", " " + self.BREAK)
+        parts = pc.split_pattern(marked, " ")
+        coded = parts.flatten().dictionary_encode()
+        place, got = coded.indices.to_numpy(), list(map(self.__getitem__, coded.dictionary.to_pylist()))
+        size, flat = np.fromiter(map(len, got), np.int64, len(got)) // 4, np.frombuffer(b"".join(got), np.uint32)
+        start, ends = np.cumsum(size) - size, np.r_[0, np.cumsum(size[place])]
+        out = np.empty(ends[-1], np.uint32)
+        for at in range(0, len(place), step):
+            own = place[at : at + step]
+            first, n = ends[at], size[own]
+            out[first : first + n.sum()] = flat[np.arange(n.sum()) + np.repeat(start[own] - ends[at : at + len(own)] + first, n)]
+        ends = ends[parts.offsets.to_numpy() - parts.offsets[0].as_py()]
+        made = [out[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
+        for k in np.flatnonzero(odd.to_numpy(zero_copy_only=False)):
+            made[k] = np.array(self.anything(texts[k].as_py()), np.uint32)
+        return made
+
+
+class Decoder:
+    """Bytes of ids, looked up in one flat table of all tokens' bytes."""
+
+    def __init__(self, token: dict[int, bytes], step: int = 1 << 20):
+        rows = [token.get(i, b"") for i in range(max(token, default=-1) + 1)]
+        self.flat, self.step = np.frombuffer(b"".join(rows), np.uint8), step
+        self.size = np.array([len(b) for b in rows], np.int64)
+        self.start = np.cumsum(self.size) - self.size
+
+    def decode(self, every: np.ndarray) -> bytes:
+        out = []
+        for at in range(0, len(every), self.step):
+            own = every[at : at + self.step]
+            size = self.size[own]
+            ends = np.cumsum(size)
+            out.append(self.flat[np.arange(ends[-1]) + np.repeat(self.start[own] - ends + size, size)].tobytes())
+        return b"".join(out)
+
+
+_workers: dict[tuple[str, str], tuple[ChunkCache, Decoder]] = {}
+
+
+def worker(path: str, pattern: str) -> tuple[ChunkCache, Decoder]:
     """One encoder for each Python worker and vocabulary, kept from task to task."""
     use_cache("bpe", _workers.clear)
     if (path, pattern) not in _workers:
         e, split = PrefixEncoder(read_ranks(path)), regex.compile(pattern)
         pieces = lambda s: [i for p in split.findall(s) for i in e.encode(p.encode("utf-8", "surrogatepass"))]
-        _workers[path, pattern] = (ChunkCache(lambda s: e.encode(s.encode()), pieces), e.token)
+        _workers[path, pattern] = (ChunkCache(lambda s: e.encode(s.encode()), pieces), Decoder(e.token))
     return _workers[path, pattern]
 
 
-def decode_bytes(ids: bytes, token: dict[int, bytes]) -> bytes:
-    return b"".join(map(token.__getitem__, memoryview(ids).cast("I")))
-
-
 def tokenize(docs: DataFrame, vocabulary: str, pattern: str, keep_ids: bool = False) -> DataFrame:
     """Encode each whole text and decode it again: counts, digests and, with keep_ids, ids as array<int>.
 
@@ -241,19 +308,18 @@ def tokenize(docs: DataFrame, vocabulary: str, pattern: str, keep_ids: bool = Fa
     further columns of docs are ignored. Long texts are processed whole.
     """
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cache, token = worker(vocabulary, pattern)
-        for b in batches:
-            out = []
-            for text in b["text"]:
-                ids = cache.ids(text)
-                row = (len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(decode_bytes(ids, token)).hexdigest())
-                out.append((*row, list(memoryview(ids).cast("i"))) if keep_ids else row)
-            made = pd.DataFrame(out, columns=["n_tokens", "ids_sha256", "decoded_sha256"] + ["ids"] * keep_ids)
-            made.insert(0, "doc_id", b["doc_id"].array)
-            yield made
-
-    return as_input(docs, {"doc_id": "long", "text": "string"}).mapInPandas(run, SCHEMA + (", ids array<int>" if keep_ids else ""))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cache, decoder = worker(vocabulary, pattern)
+        for batch in batches:
+            for a, b in slices(batch["text"], STEP):
+                ids = cache.ids(batch["text"].slice(a, b - a))
+                made = [batch["doc_id"].slice(a, b - a), pa.array([len(x) for x in ids], pa.int64()), pa.array([hashlib.sha256(x).hexdigest() for x in ids]), pa.array([hashlib.sha256(decoder.decode(x)).hexdigest() for x in ids])]
+                names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+                if keep_ids:
+                    made, names = [*made, pa.array([x.astype(np.int32) for x in ids], pa.list_(pa.int32()))], [*names, "ids"]
+                yield pa.RecordBatch.from_arrays(made, names=names)
+
+    return as_input(docs, {"doc_id": "long", "text": "string"}).mapInArrow(run, SCHEMA + (", ids array<int>" if keep_ids else ""))
 
 
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,6 +12,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -129,6 +130,18 @@ def block_pairs(members: DataFrame, key: list[str], order: str, block: int) -> D
     return n.withColumn("lo", F.least("part", "_j")).withColumn("hi", F.greatest("part", "_j")).drop("_n", "_b", "_j")
 
 
+def slices(texts: pa.Array, most_bytes: int) -> Iterator[tuple[int, int]]:
+    """Ranges of a string column of about so many bytes each; a longer text is a range of its own."""
+    at, held = 0, 0
+    for k, n in enumerate(pc.fill_null(pc.binary_length(texts), 0).to_pylist()):
+        if held and held + n > most_bytes:
+            yield at, k
+            at, held = k, 0
+        held += n
+    if at < len(texts):
+        yield at, len(texts)
+
+
 def runs(batches: Iterator[pd.DataFrame], by: list[str]) -> Iterator[tuple[np.ndarray, pd.DataFrame]]:
     """From batches sorted by the columns: whole runs of equal values, as bounds and the rows they cut."""
     carry: pd.DataFrame | None = None

@@ -8,6 +8,7 @@ import struct
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -47,11 +48,11 @@ def some_texts(n=2000):
 
 
 def test_encoder_equals_tiktoken(reference):
-    cache, token = bpe.worker(MULTI, P.PATTERN)
-    for t in [*some_texts(), *(x for x in ODD if x)]:
-        got = cache.ids(t)
-        assert ids(got) == reference.encode_ordinary(t), repr(t)
-        assert bpe.decode_bytes(got, token) == t.encode() if got else not t
+    cache, decoder = bpe.worker(MULTI, P.PATTERN)
+    texts = [*some_texts(), *ODD]
+    for t, got in zip(texts, cache.ids(pa.array(texts), 100), strict=True):
+        assert got.tolist() == reference.encode_ordinary(t or ""), repr(t)
+        assert decoder.decode(got) == (t or "").encode()
 
 
 @settings(max_examples=60, deadline=None)
@@ -77,6 +78,26 @@ def _encoder():
     return _made[0]
 
 
+def test_edits_stop_where_the_old_tokens_resume():
+    r = random.Random(8)
+    text = "".join(r.choice("abcdeghinorst") for _ in range(5000)).encode()
+    piece, appended = bpe.LongPiece(_encoder(), text), []
+    append = piece.append
+    piece.append = lambda more: (appended.append(len(more)), append(more))
+    piece.edit(100, 3, b"xyz")
+    assert sum(appended) < 1000 and piece.ids() == bpe.LongPiece(_encoder(), bytes(piece.bytes)).ids()
+
+
+def test_query_3_equals_tiktoken_over_the_table(spark, reference):
+    texts = {d.doc_id: d.text or "" for d in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()}
+    got = bpe.op3_bpe(spark, SF).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        e = reference.encode_ordinary(texts[r.doc_id])
+        want = len(e), hashlib.sha256(struct.pack(f"<{len(e)}I", *e)).hexdigest(), hashlib.sha256(texts[r.doc_id].encode()).hexdigest()
+        assert (r.n_tokens, r.ids_sha256, r.decoded_sha256) == want
+
+
 def test_small_caches_change_nothing(reference):
     e = bpe.PrefixEncoder(bpe.read_ranks(MULTI), cache=5)
     for t in some_texts(200):
@@ -99,8 +120,9 @@ def test_query_3(spark, reference):
 
 def test_library_cache_equals_the_library(library):
     c = tokenfile.library(BYTE)
-    for t in [*some_texts(), *(x for x in ODD if x)]:
-        assert ids(c.ids(t)) == library.encode(t, add_special_tokens=False).ids, repr(t)
+    texts = [*some_texts(), *(x for x in ODD if x)]
+    for t, got in zip(texts, c.ids(pa.array(texts)), strict=True):
+        assert got.tolist() == library.encode(t, add_special_tokens=False).ids, repr(t)
 
 
 @settings(max_examples=150, deadline=None)
