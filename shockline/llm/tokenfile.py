@@ -19,18 +19,22 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .bpe import ChunkCache
-from .common import as_input, scratch_path, table, use_cache, written
+from .bpe import STEP, ChunkCache
+from .common import as_input, scratch_path, slices, table, use_cache, written
 from .files import make_folder, put, read_range
 
 MAGIC = b"S8BTOKN1"
 #: (ids, bits) of selectors 1 to 14, widest count first. Selector 0 is the escape.
 FORMS = [(60, 1), (30, 2), (20, 3), (15, 4), (12, 5), (10, 6), (8, 7), (7, 8), (6, 10), (5, 12), (4, 15), (3, 20), (2, 30), (1, 60)]
 BLOCK_IDS, FILE_IDS = 1 << 16, 1 << 24
+#: Chunks of text that a Python worker remembers, in each half of its cache.
+CACHE = 600_000
+LIMITS = np.array([1 << b for _, b in FORMS], np.uint64)
 COUNT = np.array([1] + [c for c, _ in FORMS] + [0], np.int64)
 
 
@@ -38,13 +42,15 @@ def pack(ids: np.ndarray) -> np.ndarray:
     """Ids (unsigned 64-bit) to words, at each place the selector that takes the most ids."""
     n = len(ids)
     padded = np.concatenate([ids.astype(np.uint64), np.zeros(60, np.uint64)])
-    form, highest, width = np.full(n, len(FORMS), np.int64), padded, 1
-    form[ids >> np.uint64(60) != 0] = 0
+    # the first selector whose width holds an id, then the last one that any of its count needs
+    need = (np.searchsorted(LIMITS, padded, "right") + 1).astype(np.uint8)
+    form, most, width = np.full(n, len(FORMS), np.uint8), need, 1
     for s in range(len(FORMS) - 1, 0, -1):
-        count, bits = FORMS[s - 1]
-        highest = np.maximum(highest[: n + 60 - count + 1], highest[count - width :][: n + 60 - count + 1])
+        count = FORMS[s - 1][0]
+        most = np.maximum(most[: n + 60 - count + 1], most[count - width :][: n + 60 - count + 1])
         width = count
-        form[(highest[:n] >> np.uint64(bits)) == 0] = s
+        form[most[:n] <= s] = s
+    form[need[:n] > len(FORMS)] = 0
     step, at, places = COUNT[form].tolist(), 0, []
     while at < n:
         places.append(at)
@@ -157,8 +163,13 @@ def library(path: str) -> ChunkCache:
     t, letters = Tokenizer.from_file(path), byte_letters()
     t.encode_special_tokens = True
     merge = t.model.tokenize
-    piece = lambda s: [x.id for x in merge(s.encode().decode("latin-1").translate(letters))]  # noqa: E731  what the library's splitter leaves whole
-    return ChunkCache(piece, lambda s: t.encode(s, add_special_tokens=False).ids, 1_000_000)
+    space = letters[32]
+
+    def piece(s: str) -> list[int]:  # what the library's splitter leaves whole: letters or signs, a space before them or not
+        s = s.replace(" ", space) if s.isascii() and "\n" not in s else s.encode().decode("latin-1").translate(letters)
+        return [x.id for x in merge(s)]
+
+    return ChunkCache(piece, lambda s: t.encode(s, add_special_tokens=False).ids, CACHE)
 
 
 _workers: dict[str, ChunkCache] = {}
@@ -169,34 +180,37 @@ def write_token_files(docs: DataFrame, vocabulary: str, folder: str, end_id: int
 
     Each document's ids are followed by end_id. Null doc_ids come first; rows of equal doc_id follow
     the order of their texts' hash; null and empty texts have only the end id. Empty input: no files.
+    Texts of any length are encoded whole. A file's name has its task's attempt, so a task that runs again
+    writes files of its own; the manifest names those of the attempt that counts.
     """
     make_folder(folder)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         use_cache("tokens", _workers.clear)
         if vocabulary not in _workers:
             _workers[vocabulary] = library(vocabulary)
-        cache, part, number, w = _workers[vocabulary], TaskContext.get().partitionId(), 0, Writer()
-        end = struct.pack("<I", end_id)
+        context = TaskContext.get()
+        cache, part, attempt, number, w = _workers[vocabulary], context.partitionId(), context.taskAttemptId(), 0, Writer()
+        end = np.array([end_id], np.uint32)
 
-        def close() -> pd.DataFrame:
-            path = f"{folder}/part-{part:06d}-{number:04d}.s8b"
+        def close() -> pa.RecordBatch:
+            path = f"{folder}/part-{part:06d}-{number:04d}-{attempt}.s8b"
             put(path, w.file())
-            return pd.DataFrame({"path": [path], "part": [part], "number": [number], "n_docs": [len(w.ids)], "n_ids": [w.n]})
-
-        for b in batches:
-            for doc_id, null, text in zip(b["doc_id"], b["no_id"], b["text"], strict=True):
-                w.add(None if null else int(doc_id), np.frombuffer(cache.ids(text) + end, np.uint32))
-                if w.n >= file_ids:
-                    yield close()
-                    number, w = number + 1, Writer()
+            return pa.RecordBatch.from_pydict({"path": [path], "part": pa.array([part], pa.int32()), "number": pa.array([number], pa.int32()), "n_docs": [len(w.ids)], "n_ids": [w.n]})
+
+        for batch in batches:
+            for a, b in slices(batch["text"], STEP):
+                for doc_id, ids in zip(batch["doc_id"].slice(a, b - a).to_pylist(), cache.ids(batch["text"].slice(a, b - a)), strict=True):
+                    w.add(doc_id, np.concatenate([ids, end]))
+                    if w.n >= file_ids:
+                        yield close()
+                        number, w = number + 1, Writer()
         if w.ids:
             yield close()
 
     ordered = as_input(docs, {"doc_id": "long", "text": "string"}).withColumn("h", F.xxhash64("text"))
-    ordered = ordered.repartitionByRange("doc_id", "h").sortWithinPartitions("doc_id", "h")
-    ordered = ordered.select(F.coalesce("doc_id", F.lit(0)).alias("doc_id"), F.col("doc_id").isNull().alias("no_id"), "text")
-    return written(ordered.mapInPandas(run, "path string, part int, number int, n_docs long, n_ids long"), "token_manifest")
+    ordered = ordered.repartitionByRange("doc_id", "h").sortWithinPartitions("doc_id", "h").select("doc_id", "text")
+    return written(ordered.mapInArrow(run, "path string, part int, number int, n_docs long, n_ids long"), "token_manifest")
 
 
 def read_token_files(manifest: DataFrame) -> DataFrame:
