@@ -41,7 +41,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir; a temporary one only where that is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir; a temporary one where that is unset, in local mode only."""
     conf = spark.sparkContext.getConf()
     root = conf.get("spark.checkpoint.dir", None)
     if root:
@@ -50,6 +50,8 @@ def scratch_root(spark: SparkSession) -> str:
         return root
     set_dir = spark.sparkContext.getCheckpointDir()
     if not set_dir:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         spark.sparkContext.setCheckpointDir(f"file://{tempfile.mkdtemp(prefix='shockline-')}")
         set_dir = spark.sparkContext.getCheckpointDir()
     return set_dir
@@ -69,18 +71,31 @@ def drop_scratch() -> None:
     while _made:
         spark, path = _made.pop()
         try:
-            p = spark._jvm.org.apache.hadoop.fs.Path(path).getParent()
-            p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+            delete(spark, path)
         except Exception:  # noqa: BLE001  the session has ended: the cluster's retention of the folder applies
             return
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path).getParent()
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write to the shared folder and read again: cuts lineage, survives lost executors, evaluates df once."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.scratch = path
+    return out
+
+
+def dropped(*tables: DataFrame) -> None:
+    """Delete tables of written() that nothing reads any more."""
+    for t in tables:
+        delete(t.sparkSession, t.scratch)
+        _made.remove((t.sparkSession, t.scratch))
 
 
 def as_input(df: DataFrame, wanted: dict[str, str]) -> DataFrame:
@@ -93,18 +108,21 @@ def connected_components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
 
     edges: two long columns src, dst. Returns node, component for all nodes of edges between
     different nodes. Alternates large-star and small-star steps until the edge set stays the same.
-    A step is grouped minima and joins, so a node with very many edges is never gathered in a task;
-    each round is written to the shared folder.
+    A step is grouped minima, which combine before their shuffle, and a join with them. Both sides of the
+    join are written tables, so it has exchanges of its own, and adaptive execution splits the edges of a
+    node that has very many. Each round is written to the shared folder; the one before then goes.
     """
     e = edges.select(F.greatest("src", "dst").alias("u"), F.least("src", "dst").alias("v")).where("u <> v").distinct()
     e, seen = written(e, "edges0"), None
     for k in range(max_rounds):
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        low = written(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), f"lowest{k + 1}")
+        large = written(both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct(), f"large{k + 1}")
+        least = written(large.groupBy("u").agg(F.min("v").alias("m")), f"least{k + 1}")
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
-        e = written(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), f"edges{k + 1}")
+        new = written(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), f"edges{k + 1}")
+        dropped(e, low, large, least)
+        e = new
         now = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).cast("string")).first()
         if now == seen:
             break

@@ -188,11 +188,63 @@ def test_bands_recall_pairs_of_four_fifths():
         words = prose(r, 120).split()
         other = list(words)
         other[60] = "xx"  # similarity (116 - 5) / (116 + 5) or so
-        a, b = (substring.units(*substring.word_hashes(" ".join(w))) for w in (words, other))
-        met += bool((a[2] == b[2]).any())
+        x = substring.found_in([" ".join(w).encode() for w in (words, other)])
+        met += bool((x["p_bands"][0] == x["p_bands"][1]).any())
     assert met >= 196
 
 
+@pytest.mark.parametrize("text", ["", " ", "a", "a b", " a\tb\x0bc ", "é\xa0x y", "x" * 3_000_000, "w " * 600_000, f"{'y' * 1_100_000} a b {'z' * 1_100_000}"])
+def test_words_of_any_length(text):
+    data = np.frombuffer(text.encode(), np.uint8)
+    h, place, _ = substring.word_hashes(data)
+    want = [(m.start(), m[0]) for m in re.finditer(rb"[^\x20\x09-\x0D]+", text.encode())]
+    assert place.tolist() == [a for a, _ in want]
+    assert len(set(zip(h.tolist(), (w for _, w in want), strict=True))) == len(set(h.tolist())) == len({w for _, w in want})
+
+
+def test_windowed():
+    r = np.random.default_rng(1)
+    x = r.integers(0, 50, 200)
+    for size in (1, 2, 7, 16, 31):
+        assert windows_of(x, size) == substring.windowed(x, size, np.minimum).tolist()
+
+
+def windows_of(x, size):
+    return [int(x[i : i + size].min()) for i in range(len(x) - size + 1)]
+
+
+def test_query_1_covers_every_shared_run(spark):
+    """Words of runs of 50 that two documents share are in a passage; documents without shared words are in none."""
+    docs = {d.doc_id: re.findall(r"[^\x20\x09-\x0D]+", (d.text or "").translate(LOWER)) for d in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    got = {}
+    for r in substring.op1_repeats(spark, SF).collect():
+        assert r.n_words >= 50 and r.start_word + r.n_words <= len(docs[r.doc_id])
+        got.setdefault(r.doc_id, set()).update(range(r.start_word, r.start_word + r.n_words))
+
+    def shared(n):
+        where = {}
+        for d, w in docs.items():
+            for i in range(len(w) - n + 1):
+                where.setdefault(" ".join(w[i : i + n]), set()).add(d)
+        return {d: {i + k for i in range(len(w) - n + 1) if len(where[" ".join(w[i : i + n])]) > 1 and len(set(w[i : i + n])) > 30 * n // 50 for k in range(n)} for d, w in docs.items()}
+
+    assert all(words <= got.get(d, set()) for d, words in shared(50).items())
+    few = shared(5)
+    assert all(len(few[d] & words) >= len(words) / 2 for d, words in got.items())
+
+
+def test_columns_of_any_name_and_repeated_ids(spark, corpus):
+    docs, passage = corpus
+    rows = [(1, docs[1], 1, 2, 3, 4), (2, docs[2], 1, 2, 3, 4), (2, docs[2], 1, 2, 3, 4), (2, docs[3], 1, 2, 3, 4), (None, docs[1], 1, 2, 3, 4), (9, None, 1, 2, 3, 4), (9, "", 1, 2, 3, 4)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, _cut int, _id int, cuts int, row int").selectExpr("*", "1 as h", "2 as left", "'x' as class_id")
+    out = substring.drop_repeats(frame)
+    assert out.columns == frame.columns
+    got = sorted(((r.doc_id or 0, r.text or "") for r in out.collect()))
+    assert len(got) == len(rows) and got.count((2, docs[3])) == 1 and (0, docs[1]) in got and (1, docs[1]) in got
+    assert sum(passage[40:300] in t for _, t in got) == 2
+    assert substring.drop_repeats(frame.where("false")).count() == 0
+
+
 def test_cutting_keeps_the_rest():
     assert substring.without("a b  c\nd e", [{"start": 1, "words": 2}]) == "a d e"
     assert substring.without("a b", [{"start": 0, "words": 2}]) == ""
