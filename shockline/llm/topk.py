@@ -1,15 +1,19 @@
 """Exact top-k inner products by aggregation without random access (operator 5).
 
 Each dimension of a block of candidates is a list sorted by value, read from the top for a positive
-query component and from the bottom for a negative one. At a common depth of all lists, a candidate's
-score lies between a lower bound (unread components at the worst value of their list) and an upper
-bound (unread components at the value that the list would give next). Candidates whose upper bound is
-below the k-th best lower bound are out. The lists are read once, to a fixed depth, and the others are
-scored from their whole rows, which is random access: no test stops the reading. The bounds of a block of queries are matrix products, so no list is walked row by row.
+query component and from the bottom for a negative one. All lists are read to a common depth, which grows
+so that each step reads half of what is left. At a depth a candidate's score lies between a lower bound (unread
+components at the worst value of their list) and an upper bound (unread components at the value that the list
+would give next). Candidates whose upper bound is below the k-th best lower bound are out for good. A query stops
+reading when every candidate that is left has been met in all lists, so that both its bounds are its score: no
+row is looked up out of turn. The bounds of a block of queries are matrix products while many
+candidates are left, and products of each query with its own few after that.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -17,53 +21,78 @@ from pyspark.sql import functions as F
 
 from .common import table, written
 
-#: Candidates and queries that meet in a task, and the shares of the lists read before the rest.
+#: Candidates and queries that meet in a task, and queries whose bounds are one product.
 CANDIDATES, QUERIES, STEP = 4096, 2048, 256
-DEPTHS = (0.9,)
+#: Share of (query, candidate) pairs from which on each query goes on alone.
+FEW = 0.1
 
 
 class SortedLists:
-    """A block of candidates, with the values at which each list stands at a depth."""
+    """A block of candidates, and the lists of its dimensions."""
 
     def __init__(self, vectors: np.ndarray):
         self.rows = vectors
         self.sorted = np.sort(vectors, axis=0)
 
-    def at(self, depth: float) -> tuple[np.ndarray, ...]:
-        """Candidates as read up to the depth: for the upper bounds from the top and the bottom, then the lower ones."""
+    def depths(self) -> Iterator[int]:
+        """Entries of a list that are unread: half of them, a quarter, and so on down to none."""
+        unread = len(self.rows)
+        while unread:
+            unread //= 2
+            yield unread
+
+    def at(self, unread: int) -> tuple[np.ndarray, ...]:
+        """Candidates as read so far: for the upper bounds from the top and the bottom, then for the lower ones."""
         n, x, s = len(self.rows), self.rows, self.sorted
-        unread = n - max(1, min(n, int(np.ceil(depth * n))))
-        top, low = s[unread], s[n - 1 - unread]  # the last values read; equal ones are read with them
-        below = np.where(x < top, x, -np.inf).max(axis=0)
-        above = np.where(x > low, x, np.inf).min(axis=0)
+        top, low = s[min(unread, n - 1)], s[max(n - 1 - unread, 0)]  # the last values read; equal ones are read with them
+        each = np.arange(x.shape[1])
+        below = s[np.maximum((x < top).sum(axis=0) - 1, 0), each]
+        above = s[np.minimum((x <= low).sum(axis=0), n - 1), each]
         seen_top, seen_low = x >= top, x <= low
         return np.where(seen_top, x, below), np.where(seen_low, x, above), np.where(seen_top, x, s[0]), np.where(seen_low, x, s[-1])
 
 
-def block_top(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, lists: SortedLists, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """query position, candidate position, score: each query's k best of the block, ties to the smaller id."""
-    x, plus, minus = lists.rows, np.maximum(q, 0), np.minimum(q, 0)
-    own = q_ids[:, None] == ids
-    k_here = min(k, len(ids))
-    live = ~own
-    for depth in DEPTHS:
-        up_top, up_low, lo_top, lo_low = lists.at(depth)
-        upper, lower = plus @ up_top.T + minus @ up_low.T, plus @ lo_top.T + minus @ lo_low.T
-        lower[own] = -np.inf
-        kth = np.partition(lower, len(ids) - k_here, axis=1)[:, len(ids) - k_here]
-        live &= upper >= kth[:, None]
-    out_q, out_c, out_s = [], [], []
-    for i in range(len(q)):
-        left = np.flatnonzero(live[i])
-        score = x[left] @ q[i]  # what is left of the lists, for those still in
-        if len(left) > k:
-            best = score >= np.partition(score, len(left) - k)[len(left) - k]
-            left, score = left[best], score[best]
-        order = np.lexsort((ids[left], -score))[:k]
-        out_q.append(np.full(len(order), i))
-        out_c.append(left[order])
-        out_s.append(score[order])
-    return np.concatenate(out_q), np.concatenate(out_c), np.concatenate(out_s)
+def kth_best(lower: np.ndarray, k: int) -> np.ndarray:
+    return np.partition(lower, lower.shape[-1] - k, axis=-1)[..., lower.shape[-1] - k]
+
+
+def block_top(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, lists: SortedLists, k: int, log: list | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """query position, candidate position, score: each query's k best of the block, ties to the smaller id.
+
+    log: gets the number of unread entries of a list and of candidates left for each query that stops.
+    """
+    plus, minus = np.maximum(q, 0), np.minimum(q, 0)
+    live = q_ids[:, None] != ids
+    left, found = {i: np.flatnonzero(live[i]) for i in range(len(q))}, {}
+    dense = True
+    for unread in lists.depths():
+        up_top, up_low, lo_top, lo_low = lists.at(unread)
+        if dense:
+            upper, lower = plus @ up_top.T + minus @ up_low.T, plus @ lo_top.T + minus @ lo_low.T
+            lower[~live] = lower.min(initial=0) - 1
+            if k < len(ids):
+                live &= upper >= kth_best(lower, k)[:, None]
+            left, dense = {i: np.flatnonzero(live[i]) for i in left}, live.mean() > FEW
+        for i, own in list(left.items()):
+            if dense:
+                up, lo = upper[i, own], lower[i, own]
+            else:
+                up, lo = up_top[own] @ plus[i] + up_low[own] @ minus[i], lo_top[own] @ plus[i] + lo_low[own] @ minus[i]
+                if k < len(own):
+                    stay = up >= kth_best(lo, k)
+                    left[i], up, lo = own[stay], up[stay], lo[stay]
+            if (up == lo).all():
+                found[i] = left.pop(i), lo
+                if log is not None:
+                    log.append((unread, len(lo)))
+        if not left:
+            break
+        live[list(found)] = False
+    out = []
+    for i, (own, score) in found.items():
+        order = np.lexsort((ids[own], -score))[:k]
+        out.append((np.full(len(order), i), own[order], score[order]))
+    return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
 
 def quantized(vectors: DataFrame, scale: int = 64) -> DataFrame:
@@ -79,9 +108,9 @@ def quantized(vectors: DataFrame, scale: int = 64) -> DataFrame:
 
 
 def exact_type(q: np.ndarray, x: np.ndarray) -> type:
-    """The fastest type in which these inner products have no rounding."""
-    most = q.shape[1] * float(np.abs(q).max(initial=0)) * float(np.abs(x).max(initial=0))
-    return np.float32 if most < 2**24 else np.float64 if most < 2**53 else object
+    """The fastest type in which these inner products have no rounding; plain integers beyond all of them."""
+    most = q.shape[1] * max(1, int(np.abs(q.astype(object)).max(initial=0)) * int(np.abs(x.astype(object)).max(initial=0)))
+    return np.float32 if most < 2**23 else np.float64 if most < 2**52 else object
 
 
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, candidates: int = CANDIDATES, per_task: int = QUERIES) -> DataFrame:
@@ -98,16 +127,11 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, candidates: int =
         if len(q) and len(c):
             q_ids, ids = q["vec_id"].to_numpy(), c["vec_id"].to_numpy()
             a, b = np.stack(q["v"].to_numpy()), np.stack(c["v"].to_numpy())
-            if (kind := exact_type(a, b)) is object:  # too large for floating point: plain integers, all read
-                for i in range(len(q)):
-                    score = [sum(int(s) * int(t) for s, t in zip(a[i], r, strict=True)) for r in b]
-                    best = sorted((-s, int(v)) for s, v in zip(score, ids, strict=True) if v != q_ids[i])[:k]
-                    made.append(pd.DataFrame({"query_id": q_ids[i], "vec_id": [v for _, v in best], "score": [-s for s, _ in best]}))
-            else:
-                a, lists = a.astype(kind), SortedLists(b.astype(kind))
-                for at in range(0, len(a), STEP):
-                    i, j, s = block_top(q_ids[at : at + STEP], a[at : at + STEP], ids, lists, k)
-                    made.append(pd.DataFrame({"query_id": q_ids[at + i], "vec_id": ids[j], "score": s.astype(np.int64)}))
+            kind = exact_type(a, b)
+            a, lists = a.astype(kind), SortedLists(b.astype(kind))
+            for at in range(0, len(a), STEP):
+                i, j, s = block_top(q_ids[at : at + STEP], a[at : at + STEP], ids, lists, k)
+                made.append(pd.DataFrame({"query_id": q_ids[at + i], "vec_id": ids[j], "score": s.astype(np.int64)}))
         return pd.concat(made) if made else pd.DataFrame({"query_id": [], "vec_id": [], "score": []}, dtype=np.int64)
 
     def dealt(rows: DataFrame, own: str, count: int, other: str, others: int) -> DataFrame:

@@ -142,6 +142,19 @@ def test_query_5_equals_sql(spark, duck):
     assert got == sorted(duck.sql(topk.ORACLE).fetchall())
 
 
+@pytest.mark.parametrize("kind", [np.float32, object])
+def test_reading_stops_on_the_bounds(kind):
+    g = np.random.default_rng(3)
+    x = np.floor(g.pareto(1.5, (400, 5))).astype(np.int64).astype(kind)
+    q = np.maximum(g.integers(-1, 4, (30, 5)), 0).astype(np.int64).astype(kind)
+    ids, log = np.arange(400), []
+    i, j, s = topk.block_top(np.arange(30) * 10, q, ids, topk.SortedLists(x), 5, log)
+    for n in range(30):
+        want = sorted((-int((q[n] * r).sum()), m) for m, r in enumerate(x) if m != n * 10)[:5]
+        assert sorted(zip((-s[i == n]).astype(int).tolist(), j[i == n].tolist(), strict=True)) == want
+    assert len(log) == 30 and sum(unread > 0 for unread, _ in log) > 10 and min(left for unread, left in log if unread) < 40
+
+
 def test_exact_types():
     a = np.array([[1 << 11]])
     assert topk.exact_type(a, a) is np.float32 and topk.exact_type(a << 10, a << 2) is np.float64 and topk.exact_type(a << 20, a << 20) is object
