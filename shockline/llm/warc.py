@@ -23,6 +23,8 @@ from .files import make_folder, opened, put
 GZIP = b"\x1f\x8b\x08"
 VERSION = b"WARC/1.1\r\n"
 FILE_BYTES, SPLIT_BYTES, STEP = 64 << 20, 8 << 20, 1 << 20
+#: Tasks that read; with more byte ranges than that a task reads several, one after the other.
+MOST_TASKS = 100_000
 MANIFEST = "path string, bytes long, records long"
 RECORD = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary"
 
@@ -83,7 +85,9 @@ def write_archives(pages: DataFrame, folder: str, min_bytes: int = 0, file_bytes
     Of rows with equal payloads of at least min_bytes, those with the largest page_id (ties: all of
     them) are responses and the others revisit it. A null html has an empty payload. A null page_id is
     smaller than any other; where only such rows share a payload, all are responses. Repeated rows
-    give a record each. Further columns are ignored. An empty table gives no archive.
+    give a record each. Payloads of any length are written whole. Further columns are ignored. An empty
+    table gives no archive. An archive's name has its task's attempt, so a task that runs again writes
+    archives of its own; the manifest names those of the attempt that counts.
     """
     make_folder(folder)
     rows = as_input(pages, {"page_id": "long", "url": "string", "html": "string"}).withColumn("payload", F.coalesce(F.col("html").cast("binary"), F.lit(b""))).drop("html")
@@ -92,10 +96,10 @@ def write_archives(pages: DataFrame, folder: str, min_bytes: int = 0, file_bytes
     rows = rows.join(same, "sha", "left").withColumn("refers_to", F.expr("if(last is null or page_id <=> last, null, last)"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        part, number, held, size = TaskContext.get().partitionId(), 0, [], 0
+        part, attempt, number, held, size = TaskContext.get().partitionId(), TaskContext.get().taskAttemptId(), 0, [], 0
 
         def close() -> pd.DataFrame:
-            path = f"{folder}/part-{part:06d}-{number:04d}.warc.gz"
+            path = f"{folder}/part-{part:06d}-{number:04d}-{attempt}.warc.gz"
             put(path, b"".join(held))
             return pd.DataFrame({"path": [path], "bytes": [size], "records": [len(held)]})
 
@@ -184,7 +188,9 @@ def read_archives(manifest: DataFrame, split_bytes: int = SPLIT_BYTES) -> DataFr
 
     splits = manifest.withColumn("start", F.explode(F.sequence(F.lit(0), F.greatest(F.col("bytes") - 1, F.lit(0)), F.lit(split_bytes))))
     splits = splits.select("path", "start", F.least(F.col("start") + split_bytes, "bytes").alias("end"))
-    return splits.repartition("path", "start").mapInPandas(run, RECORD)
+    # the number is stated, as adaptive execution would put all of these small rows into one task
+    n = manifest.agg(F.sum(F.ceil(F.col("bytes") / split_bytes))).first()[0] or 1
+    return splits.repartition(min(int(n), MOST_TASKS), "path", "start").mapInPandas(run, RECORD)
 
 
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
