@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 from .common import as_input, block_pairs, connected_components, runs, table, written
 
 BITS, SEED = 64, 42
-#: Members of a block, and of a shard that is split once more.
-BLOCK, REFINE = 4096, 65_536
+#: Members of a block, of a shard that is split once more, and of a tree's leaf.
+BLOCK, REFINE, LEAF = 4096, 65_536, 32
 VANTAGE_POINTS = 8
 
 
@@ -48,8 +48,8 @@ def fingerprint(text: str | None, words_per_shingle: int = 3) -> int:
 class VantageTree:
     """Fingerprints in a tree of balls; near() finds and removes those within a radius."""
 
-    def __init__(self, points: np.ndarray, leaf: int = 1024):
-        self.points, self.alive = points, np.ones(len(points), bool)
+    def __init__(self, points: np.ndarray, leaf: int = LEAF):
+        self.points, self.alive, self.visited = points, np.ones(len(points), bool), 0
         self.root, self.leaf = None, leaf
         self.root = self.build(np.arange(len(points)))
 
@@ -70,6 +70,7 @@ class VantageTree:
         found, todo = [], [self.root]
         while todo:
             node = todo.pop()
+            self.visited += 1
             if isinstance(node, tuple):
                 d = int(np.bitwise_count(point ^ node[0]))
                 if d - radius <= node[1]:
@@ -138,13 +139,13 @@ def links(points: DataFrame, radius: int = 3, block: int = BLOCK, refine: int =
             size = np.diff(bounds)
             end = np.repeat(bounds[1:], size)
             a, b = [], []
-            few = np.repeat(size <= 32, size)
-            for step in range(1, min(32, size.max())):
+            few = np.repeat(size <= LEAF, size)  # trees of one leaf are scanned all at once
+            for step in range(1, min(LEAF, size.max())):
                 i = np.flatnonzero(few & (np.arange(len(fp)) + step < end))
                 i = i[np.bitwise_count(fp[i] ^ fp[i + step]) <= radius]
                 a.append(fp[i])
                 b.append(fp[i + step])
-            for k in np.flatnonzero(size > 32):
+            for k in np.flatnonzero(size > LEAF):
                 own = fp[bounds[k] : bounds[k + 1]]
                 i, j = stars(own, radius)
                 a.append(own[i])
@@ -186,7 +187,8 @@ def near_duplicates(docs: DataFrame, radius: int = 3, block: int = BLOCK, refine
 
     Null and empty texts have fingerprint zero and link like any other. Repeated rows give a row each.
     A null doc_id stays null; its component is the smallest id it reaches, null if it reaches none.
-    Further columns are ignored.
+    Texts of any length are read whole. Of equal fingerprints the smallest id counts. Further columns
+    are ignored; an empty table gives an empty result.
     """
     fps = written(fingerprints(docs), "fingerprints")
     named = components(fps, radius, block, refine).select("fp", "component_id")

@@ -60,13 +60,28 @@ def test_tree_links_connect_what_distances_connect(seed, n, flips):
     try:
         i, j = simhash.stars(a, 3)
     finally:
-        simhash.VantageTree.__init__.__defaults__ = (1024,)
+        simhash.VantageTree.__init__.__defaults__ = (simhash.LEAF,)
     pairs = set(zip(a[i].tolist(), a[j].tolist(), strict=True))
     got = slow_components(points, lambda x, y: (x, y) in pairs or (y, x) in pairs)
     assert len(set(got.values())) == len(set(want.values()))
     assert len({(got[p], want[p]) for p in points}) == len(set(want.values()))
 
 
+def test_trees_prune_branches():
+    r = random.Random(6)
+    centres = [r.getrandbits(64) for _ in range(60)]
+    points = np.array(sorted({c ^ (1 << r.randrange(64)) ^ (1 << r.randrange(64)) for c in centres for _ in range(60)}), np.uint64)
+    tree = simhash.VantageTree(points)
+
+    def size(node):
+        return 1 + size(node[2]) + size(node[3]) if isinstance(node, tuple) else 1
+
+    nodes, i = size(tree.root), 1234
+    want = set(np.flatnonzero(np.bitwise_count(points ^ points[i]) <= 3).tolist())
+    assert set(tree.near(points[i], 3).tolist()) == want and len(want) > 3
+    assert nodes > 100 and tree.visited < 0.8 * nodes, (tree.visited, nodes)
+
+
 def cluster(seed, n):
     r = random.Random(seed)
     base = r.getrandbits(64)
