@@ -133,8 +133,9 @@ def signals(spark, d) -> DataFrame:
     """Associations with seasonal baselines, scored: the end-to-end slice."""
     p = prices(spark, d)
     found = associate.associate_bucketed(shocks(spark, d), p, AHEAD).withColumn("target_day", F.to_date("price_event_time"))
-    # baselines once for each district, commodity and day that has prices at all, not for each association
-    base = baseline.seasonal_baseline(p, p, ["district_id", "commodity_id"], "event_time", "modal_price", 5).drop("season")
+    # baselines once for each district, commodity and day that some association asks for
+    asked = found.select("district_id", "commodity_id", F.col("price_event_time").alias("event_time"))
+    base = baseline.seasonal_baseline(asked, p, ["district_id", "commodity_id"], "event_time", "modal_price", 5).drop("season")
     rows = found.join(base, ["district_id", "commodity_id", "target_day"], "left")
     rows = rows.withColumn("observed_price", F.col("modal_price")).withColumn("trading_days", F.col("sample_size"))
     return signal.scored(rows, CONFIDENCE, SIGNAL)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from datetime import date
+
+import pandas as pd
 import pytest
 
 from shockline.plans import registry
@@ -14,11 +17,11 @@ def plain(df):
     for c in df.columns:
         s = df[c]
         if str(s.dtype).startswith("datetime"):
-            df[c] = (s.dt.tz_localize(None) if s.dt.tz is not None else s).astype("datetime64[us]").astype(str)
+            df[c] = (s.dt.tz_localize(None) if s.dt.tz is not None else s).astype("datetime64[us]").map(lambda x: "none" if pd.isna(x) else str(x)).astype(object)
         elif s.dtype.kind == "f":
             df[c] = s.map(lambda x: "none" if x != x else f"{x:.9g}")
         else:
-            df[c] = s.map(lambda x: "none" if x is None or x != x or str(x) in ("NaT", "<NA>") else str(x))
+            df[c] = s.map(lambda x: "none" if pd.isna(x) else str(x) + " 00:00:00" * (type(x) is date))
     return df.sort_values(list(df.columns)).reset_index(drop=True)
 
 
