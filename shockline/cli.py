@@ -1,4 +1,4 @@
-"""python -m shockline.cli COMMAND: stream, reconcile, health, audit-reports, import-reports, merge-gold, index."""
+"""python -m shockline.cli COMMAND: stream, reconcile, health, replay, audit-reports, import-reports, boundary, case, merge-gold, index."""
 
 from __future__ import annotations
 
@@ -9,9 +9,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .config import EventTimePolicy, LookAhead, Settings
-from .operators import geography, normalize, quality
-from .schemas import GOLD
+from .config import ConfidencePolicy, EventTimePolicy, LookAhead, Settings, SignalPolicy
+from .operators import case, geography, normalize, quality
+from .schemas import GOLD, MANDI
 from .sources import read, write
 from .streaming import pipeline
 
@@ -48,12 +48,24 @@ def main(args: Sequence[str] | None = None) -> int:
     sub.add_parser("reconcile")
     h = sub.add_parser("health")
     h.add_argument("--max-dead-rate", type=float, default=0.05)
+    r = sub.add_parser("replay")
+    for o in ("--files", "--topic", "--out"):
+        r.add_argument(o, required=True)
+    r.add_argument("--per-second", type=float, default=10.0)
+    b = sub.add_parser("boundary")
+    for o in ("--source", "--state", "--district", "--out"):
+        b.add_argument(o, required=True)
+    c = sub.add_parser("case")
+    for o in ("--prices", "--shocks", "--case", "--out"):
+        c.add_argument(o, required=True)
     for name in ("audit-reports", "import-reports"):
         a = sub.add_parser(name)
         a.add_argument("--files", required=True)
         if name == "audit-reports":
-            for o in ("--state", "--first", "--last"):
+            for o in ("--state", "--first", "--last", "--out"):
                 a.add_argument(o, required=True)
+            for o in ("--snapshot", "--scope", "--market", "--commodity", "--unit", "--pre-event-end"):
+                a.add_argument(o)
         else:
             for o in ("--snapshot", "--scope", "--market", "--commodity", "--unit", "--out"):
                 a.add_argument(o, required=True)
@@ -84,8 +96,26 @@ def main(args: Sequence[str] | None = None) -> int:
     elif o.command == "audit-reports":
         staged = read.stage_reports(read.report_titles(read.report_files(spark, o.files)), o.state, F.lit(o.first).cast("date"), F.lit(o.last).cast("date"))
         gaps = quality.missing_days(staged.where("outcome = 'kept'"), "report_date", F.lit(o.first).cast("date"), F.lit(o.last).cast("date"))
-        staged.groupBy("outcome").count().orderBy("outcome").show()
-        gaps.orderBy("missing_day").show(1000)
+        made = {"outcomes": staged.groupBy("outcome").count(), "missing_days": gaps}
+        if o.market:
+            rows = import_reports(spark, o.files, o.snapshot, o.scope, o.market, o.commodity, o.unit)
+            rows = rows.withColumnsRenamed({"Market": "market", "Commodity": "commodity", "Variety": "variety", "Price_Unit": "price_unit"}).withColumn("day", F.col("report_date"))
+            made |= case.audit(rows, staged.select("path", "sha256", "report_date"), o.pre_event_end or o.first)
+        for name, df in made.items():
+            df.coalesce(1).write.mode("overwrite").json(f"{o.out}/{name}")
+    elif o.command == "replay":
+        publisher, wait = write.Publisher(write.FileProducer(o.out)), write.pace(o.per_second)
+        for row in read.replay_folder(spark, o.files, MANDI).select("event_id", F.to_json(F.struct("*")).alias("value")).toLocalIterator():
+            write.with_retry(lambda row=row: publisher.publish(o.topic, row["event_id"], row["value"]), write.transient)
+            wait()
+    elif o.command == "boundary":
+        found = read.district_boundary(spark, o.source, "struct<state_name: string, district: string>", {"state_name": o.state, "district": o.district}, {})
+        found.select("properties", F.to_json(F.struct(F.lit("MultiPolygon").alias("type"), F.col("geometry").alias("coordinates"))).alias("geometry_json")).coalesce(1).write.mode("overwrite").json(o.out)
+    elif o.command == "case":
+        about = case.Case(**json.loads(spark.read.text(o.case, wholetext=True).first()["value"]))
+        events = read.replay_folder(spark, o.prices, MANDI).where("event_type = 'mandi_price'").select("event_id", "event_time", "payload.*")
+        shock = spark.read.json(o.shocks).select("event_id", "payload.*")
+        write.merge_signals(case.analyze(events, shock, about, ConfidencePolicy(), SignalPolicy.from_environment()), o.out)
     elif o.command == "import-reports":
         rows = import_reports(spark, o.files, o.snapshot, o.scope, o.market, o.commodity, o.unit)
         write.import_artifacts(rows, o.out, {"market": o.market, "commodity": o.commodity, "price_unit": o.unit})

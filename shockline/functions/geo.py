@@ -33,6 +33,25 @@ def parse_geojson(geojson: Column | str) -> Column:
     return F.when(F.coalesce(good & (F.size(F.flatten(F.flatten(out))) > 0), F.lit(False)), out)
 
 
+def ring_fault(geometry: Column) -> Column:
+    """The first fault of a geometry's rings as areas in degrees, null if it has none."""
+    rings = F.flatten(geometry)
+    short = F.exists(rings, lambda r: F.size(r) < 4)
+    opened = F.exists(rings, lambda r: F.get(r, F.lit(0)) != F.get(r, F.size(r) - 1))
+    outside = F.exists(F.flatten(rings), lambda p: ~(p[0].between(-180, 180) & p[1].between(-90, 90)))
+    crossing = F.exists(rings, lambda r: F.exists(edges(r), lambda e: F.exists(edges(r), lambda f: _crossing(e, f))))
+    return (
+        F.when(geometry.isNull(), "missing_geometry").when(short, "invalid_ring").when(opened, "unclosed_ring")
+        .when(outside, "coordinate_out_of_bounds").when(crossing, "self_intersecting_ring")
+    )
+
+
+def _crossing(e: Column, f: Column) -> Column:
+    """Whether two segments cross within both of them."""
+    a, b, c, d = e["a"], e["b"], f["a"], f["b"]
+    return (_side(a, b, c) * _side(a, b, d) < 0) & (_side(c, d, a) * _side(c, d, b) < 0)
+
+
 def bounds(geometry: Column) -> Column:
     """struct(x0, y0, x1, y1)."""
     points = F.flatten(F.flatten(geometry))
@@ -76,8 +95,7 @@ def _on(a: Column, b: Column, p: Column) -> Column:
 def _meet(e: Column, f: Column) -> Column:
     """Whether two segments share a point, ends included; a segment of one point is a point."""
     a, b, c, d = e["a"], e["b"], f["a"], f["b"]
-    cross = (_side(a, b, c) * _side(a, b, d) < 0) & (_side(c, d, a) * _side(c, d, b) < 0)
-    return cross | _on(a, b, c) | _on(a, b, d) | _on(c, d, a) | _on(c, d, b)
+    return _crossing(e, f) | _on(a, b, c) | _on(a, b, d) | _on(c, d, a) | _on(c, d, b)
 
 
 def _polygons_meet(p: Column, q: Column) -> Column:
@@ -126,3 +144,12 @@ class ConicIndia:
         lon = F.lit(self.LON0) + F.degrees(F.atan2(dx, dy) / self.n)
         finite = ~F.isnan(easting) & ~F.isnan(northing) & (F.abs(easting) < float("inf")) & (F.abs(northing) < float("inf"))
         return F.when(finite, F.struct(lon.alias("lon"), F.degrees(phi).alias("lat")))
+
+    def rings(self, geometry: Column) -> Column:
+        """A geometry in degrees from one in metres."""
+
+        def place(p: Column) -> Column:
+            at = self.inverse(p[0], p[1])
+            return F.array(at["lon"], at["lat"])
+
+        return F.transform(geometry, lambda polygon: F.transform(polygon, lambda ring: F.transform(ring, place)))

@@ -122,7 +122,7 @@ def dashboard_metrics(signals: DataFrame, kind: str) -> DataFrame:
     )
 
 
-def dashboard_detail(signals: DataFrame, kind: str, signal: str) -> DataFrame:
+def dashboard_detail(signals: DataFrame, kind: str, signal: str | Column) -> DataFrame:
     return signals.where((F.col("fixture_kind") == kind) & (F.col("signal_id") == signal)).select("observed_price", "baseline_price").limit(1)
 
 

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..config import ConfidencePolicy, LookAhead, SignalPolicy
 from ..functions import geo, identity, scoring
@@ -197,9 +198,11 @@ def gold_rows(spark, d) -> DataFrame:
     return signal.gold(rows, "replayed_historical", F.lit("2024-01-01 00:00:00").cast("timestamp"))
 
 
-@query(f"{_SIGNALS} SELECT sha256(concat_ws('|', shock_id, price_event_id, '1.0')) AS signal_id, commodity_id AS commodity, modal_price AS observed_price, {_LEVEL} AS signal_level, '' AS faults, '' AS document_reason FROM scored WHERE median_price IS NOT NULL")
+@query(f"""{_SIGNALS} SELECT sha256(concat_ws('|', shock_id, price_event_id, '1.0')) AS signal_id, CASE WHEN length(shock_id) % 2 = 1 THEN commodity_id ELSE ' ' END AS commodity, modal_price AS observed_price, {_LEVEL} AS signal_level,
+  CASE WHEN median_price IS NULL THEN 'baseline_price,deviation_pct' ELSE '' END AS faults, CASE WHEN length(shock_id) % 2 = 1 THEN '' ELSE 'missing_commodity' END AS document_reason FROM scored""")
 def gold_signals(spark, d):
-    g = gold_rows(spark, d)
+    rows = signals(spark, d).withColumn("commodity", F.when(F.length("shock_id") % 2 == 1, F.col("commodity_id")).otherwise(" "))
+    g = signal.gold(rows, "replayed_historical", F.lit("2024-01-01 00:00:00").cast("timestamp"))
     return g.select("signal_id", "commodity", "observed_price", "signal_level", F.array_join(signal.contract_faults(), ",").alias("faults"), F.coalesce(validate.document_reason(), F.lit("")).alias("document_reason"))
 
 
@@ -235,11 +238,64 @@ def dlq_reason_ladder(spark, d):
     return validate.split(_checked(spark, d))[1].select("offset", F.col(validate.REASON).alias("reason"))
 
 
-@query(f"""SELECT 'dlq:' || sha256(concat_ws('|', 'mandi-prices', 0, CAST(l_orderkey * 10 + l_linenumber AS BIGINT), CASE l_orderkey % 12 WHEN 0 THEN '{{not json' WHEN 1 THEN '[1,2]' ELSE 'null' END)) AS event_id, l_shipdate AS event_time
-  FROM lineitem WHERE l_orderkey % 12 IN (0, 1, 2)""")
+_RAW_SQL = """CASE k WHEN 0 THEN '{not json' WHEN 1 THEN '[1,2]' WHEN 2 THEN 'null' ELSE
+  '{' || CASE WHEN k <> 3 THEN '"event_id":"' || concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) || '",' ELSE '' END || '"event_type":"mandi_price","event_time":"'
+  || CASE WHEN k = 4 THEN 'no time' ELSE strftime(l_shipdate, '%Y-%m-%dT%H:%M:%S') || '+00:00' END || '","ingestion_time":"2024-01-01T00:00:00+00:00","source":"test","schema_version":"1.0","payload":{"state":"S","district":"'
+  || CASE WHEN k = 5 THEN '  ' ELSE 'D' END || '",' || CASE WHEN k <> 6 THEN '"market":"M",' ELSE '' END || '"commodity":"' || l_returnflag || '",' || CASE WHEN k <> 7 THEN '"min_price":"1.00",' ELSE '' END
+  || '"modal_price":"' || CASE WHEN k = 8 THEN '-1' ELSE CAST(l_linenumber AS VARCHAR) END || '","max_price":"7.00","price_unit":"u"}}' END"""
+
+
+@query(f"""SELECT 'dlq:' || sha256(concat_ws('|', 'mandi-prices', 0, o, raw)) AS event_id, l_shipdate AS event_time, 'dead_letter_event' AS event_type, 'spark_validation' AS stage, reason
+  FROM (SELECT *, CAST(l_orderkey * 10 + l_linenumber AS BIGINT) AS o, {_RAW_SQL} AS raw, {REASON_SQL} AS reason FROM (SELECT *, l_orderkey % 12 AS k FROM lineitem)) WHERE reason IS NOT NULL""")
 def dead_letter_envelopes(spark, d):
-    dead = validate.dead_letters(validate.split(_checked(spark, d))[1]).where("payload.reason = 'malformed_json'")
-    return dead.select("event_id", F.col("event_time").cast("timestamp_ntz").alias("event_time"))
+    dead = validate.dead_letters(validate.split(_checked(spark, d))[1])
+    return dead.select("event_id", F.col("event_time").cast("timestamp_ntz").alias("event_time"), "event_type", "payload.stage", "payload.reason")
+
+
+@query("""SELECT CAST(event_id AS VARCHAR) AS event_id, CASE WHEN event_id % 6 = 0 THEN 'malformed_json' WHEN event_id % 6 = 1 THEN 'missing_event_id' WHEN event_id % 6 = 2 THEN 'invalid_event_time'
+  WHEN event_id % 6 IN (3, 4) THEN 'required_payload_missing_or_invalid' END AS reason FROM events""")
+def required_payload_rule(spark, d):
+    k = F.col("event_id") % 6
+    payload = F.struct(F.when(k != 3, "S").alias("state"), F.when(k == 4, " ").otherwise("D").alias("district"))
+    event = F.struct(F.when(k != 1, F.col("event_id").cast("string")).alias("event_id"), F.when(k == 2, "soon").otherwise("2024-06-30T00:00:00+00:00").alias("event_time"), F.lit("t").alias("source"), payload.alias("payload"))
+    records = table(spark, d, "events").select(F.col("event_id").cast("string").alias("own"), F.when(k == 0, "{").otherwise(F.to_json(event)).alias("raw_json"))
+    rows = validate.parse(records, T.StructType([T.StructField(f, T.StringType()) for f in ("state", "district")]))
+    checked = validate.with_reason(rows, validate.required_rule(["state", "district"]), validate.REQUIRED_REJECT)
+    return checked.select(F.col("own").alias("event_id"), F.col(validate.REASON).alias("reason"))
+
+
+@query("SELECT c_custkey, c_nationkey % 3 = 0 AS matches FROM customer")
+def district_match(spark, d):
+    k = F.col("c_nationkey")
+    rows = table(spark, d, "customer").select("c_custkey", F.concat(F.lit("d"), k).alias("district_id"), F.when(k % 3 == 0, F.concat(F.lit("d"), k)).when(k % 3 == 1, "x").alias("evidence_district_id"))
+    return rows.select("c_custkey", signal.district_matches().alias("matches"))
+
+
+@query("""SELECT p_partkey, CASE WHEN p_partkey % 7 = 1 THEN 'missing_market' WHEN p_partkey % 7 = 2 THEN 'missing_commodity' WHEN p_partkey % 7 = 3 THEN 'missing_variety' WHEN p_partkey % 7 = 4 THEN 'missing_price_unit'
+  WHEN p_partkey % 7 = 5 THEN 'outside_case' END AS key_reason FROM part""")
+def series_key_guard(spark, d):
+    k = F.col("p_partkey") % 7
+    rows = table(spark, d, "part").select(
+        "p_partkey", F.lit("S").alias("state"), F.when(k == 5, "E").otherwise("D").alias("district"), F.when(k != 1, "m").alias("market"), F.when(k == 2, " ").otherwise(F.col("p_type")).alias("commodity"),
+        F.when(k != 3, F.col("p_brand")).alias("variety"), F.when(k == 4, "").otherwise("u").alias("price_unit"),
+    )
+    return quality.require_series_key(rows, "S", "D").select("p_partkey", "key_reason")
+
+
+@query("SELECT 'm' || s_suppkey AS market_id, n_nationkey AS feature FROM supplier JOIN nation ON s_nationkey = n_nationkey")
+def market_boundary(spark, d):
+    n = table(spark, d, "nation")
+    features = n.select(F.struct(F.col("n_name").alias("DISTRICT"), F.lit(None).cast("string").alias("name")).alias("properties"), F.col("n_nationkey").alias("feature"), F.lit("{}").alias("geometry_json"))
+    markets = table(spark, d, "supplier").join(n, F.col("s_nationkey") == F.col("n_nationkey")).select(F.concat(F.lit("m"), "s_suppkey").alias("market_id"), F.lower("n_name").alias("source_district"))
+    return geography.market_features(markets, features).where("geometry_json is not null").select("market_id", "feature")
+
+
+@query(f"{_SIGNALS} SELECT modal_price AS observed_price, median_price AS baseline_price FROM scored WHERE sha256(concat_ws('|', shock_id, price_event_id, '1.0')) = (SELECT min(sha256(concat_ws('|', shock_id, price_event_id, '1.0'))) FROM scored WHERE median_price IS NOT NULL)")
+def dashboard_detail(spark, d):
+    g = gold_rows(spark, d)
+    least = g.agg(F.min("signal_id").alias("least"))
+    one = g.join(F.broadcast(least), F.col("signal_id") == F.col("least")).drop("least")
+    return quality.dashboard_detail(one, "replayed_historical", F.col("signal_id"))
 
 
 @query("SELECT CAST(l_orderkey * 10 + l_linenumber AS BIGINT) AS kafka_offset, CASE WHEN l_orderkey % 12 > 3 THEN concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) END AS source_event_id, CASE WHEN l_orderkey % 12 IN (0, 1, 2, 4) THEN NULL ELSE CAST(l_shipdate AS DATE) END AS source_event_date FROM lineitem")
@@ -247,9 +303,12 @@ def bronze_projection(spark, d):
     return validate.bronze(broker_records(spark, d)).select("kafka_offset", "source_event_id", "source_event_date")
 
 
-@query("SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, event_type FROM events")
+@query("SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, event_type, ts AS event_time FROM events")
 def json_envelope_parse(spark, d):
-    return table(spark, d, "events").select("event_id", F.from_json("props", "k bigint")["k"].alias("k"), "event_type")
+    e = table(spark, d, "events")
+    raw = F.to_json(F.struct(F.col("event_id").cast("string").alias("event_id"), "event_type", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx").alias("event_time"), F.from_json("props", "k bigint").alias("payload")))
+    rows = validate.parse(e.select(F.col("event_id").alias("key"), raw.alias("raw_json")), T.StructType([T.StructField("k", T.LongType())]))
+    return rows.select(F.col("key").alias("event_id"), "payload.k", "event_type", F.col("event_time").cast("timestamp_ntz").alias("event_time"))
 
 
 @query("SELECT o_orderkey, CASE WHEN o_orderdate < TIMESTAMP '1998-01-01' THEN 'reconcile' ELSE 'process' END AS disposition FROM orders")
@@ -426,10 +485,18 @@ def point_in_polygon(spark, d):
     return geography.locate_points(points, areas, "p_partkey").select("p_partkey", "district_id", "mapping_status")
 
 
-@query()
+_CONIC = geo.ConicIndia()
+
+
+@query(f"""WITH RECURSIVE places AS (
+  SELECT p_partkey, p_size * 10000.0 AS dx, {_CONIC.rho0!r} + p_partkey % 100 * 10000.0 AS dy, pow(sqrt(pow(p_size * 10000.0, 2) + pow({_CONIC.rho0!r} + p_partkey % 100 * 10000.0, 2)) / {_CONIC.reach!r}, 1 / {_CONIC.n!r}) AS t FROM part
+), step AS (
+  SELECT *, pi() / 2 - 2 * atan(t) AS phi, 0 AS i FROM places
+  UNION ALL SELECT p_partkey, dx, dy, t, pi() / 2 - 2 * atan(t * pow((1 - {_CONIC.e!r} * sin(phi)) / (1 + {_CONIC.e!r} * sin(phi)), {_CONIC.e!r} / 2)), i + 1 FROM step WHERE i < 12
+) SELECT p_partkey, round({_CONIC.LON0!r} + degrees(atan2(dx, dy) / {_CONIC.n!r}), 9) AS lon, round(degrees(phi), 9) AS lat FROM step WHERE i = 12""")
 def lcc_inverse(spark, d):
-    at = geo.ConicIndia().inverse(4_000_000.0 + F.col("p_size") * 10_000, F.lit(4_000_000.0) - (F.col("p_partkey") % 100) * 10_000)
-    return table(spark, d, "part").select("p_partkey", at.alias("g")).select("p_partkey", "g.lon", "g.lat")
+    at = _CONIC.inverse(4_000_000.0 + F.col("p_size") * 10_000, F.lit(4_000_000.0) - (F.col("p_partkey") % 100) * 10_000)
+    return table(spark, d, "part").select("p_partkey", at.alias("g")).select("p_partkey", F.round("g.lon", 9).alias("lon"), F.round("g.lat", 9).alias("lat"))
 
 
 # ---- quality ----------------------------------------------------------------------------------------
@@ -470,9 +537,9 @@ def missing_dates(spark, d):
     return quality.missing_days(rows, "day", F.lit("1999-01-01").cast("date"), F.lit("1999-12-31").cast("date"))
 
 
-@query("SELECT min(doc_id) AS doc_id, sha256(text) AS content_hash, count(*) AS copies FROM documents WHERE text IS NOT NULL GROUP BY text")
+@query("SELECT min(doc_id) AS doc_id, sha256(text) AS content_hash, count(*) AS copies FROM documents GROUP BY text")
 def content_hash_dedup(spark, d):
-    docs = table(spark, d, "documents").where("text is not null").select("doc_id", F.sha2("text", 256).alias("content_hash"))
+    docs = table(spark, d, "documents").select("doc_id", F.sha2("text", 256).alias("content_hash"))
     return docs.groupBy("content_hash").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"))
 
 
@@ -486,13 +553,16 @@ def keep_first_per_date(spark, d):
     return quality.keep_first(table(spark, d, "orders"), ["o_orderdate"], ["o_orderkey"], "o_orderstatus").select("o_orderkey", "outcome")
 
 
-@query("""WITH r AS (SELECT conv_id, turn, CASE WHEN role = 'user' THEN role || turn END AS market, CASE WHEN turn % 3 = 1 THEN 'c' || turn END AS commodity FROM conversations WHERE role IN ('user', 'assistant') AND turn IS NOT NULL AND conv_id IS NOT NULL),
-  m AS (SELECT *, count(market) OVER (PARTITION BY conv_id ORDER BY turn ROWS UNBOUNDED PRECEDING) AS seg FROM r)
-  SELECT conv_id, turn, last_value(market IGNORE NULLS) OVER (PARTITION BY conv_id ORDER BY turn ROWS UNBOUNDED PRECEDING) AS market, last_value(commodity IGNORE NULLS) OVER (PARTITION BY conv_id, seg ORDER BY turn ROWS UNBOUNDED PRECEDING) AS commodity FROM m""")
+@query("""WITH r AS (SELECT conv_id, turn, role, text, CASE WHEN role = 'user' THEN role || coalesce(CAST(turn AS VARCHAR), '-') END AS market, CASE WHEN turn % 3 = 1 THEN 'c' || turn END AS commodity FROM conversations),
+  m AS (SELECT *, count(market) OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST ROWS UNBOUNDED PRECEDING) AS seg FROM r)
+  SELECT conv_id, turn, last_value(market IGNORE NULLS) OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST ROWS UNBOUNDED PRECEDING) AS market,
+    last_value(commodity IGNORE NULLS) OVER (PARTITION BY conv_id, seg ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST ROWS UNBOUNDED PRECEDING) AS commodity FROM m""")
 def forward_fill_context(spark, d):
-    rows = table(spark, d, "conversations").where("role in ('user', 'assistant') and turn is not null and conv_id is not null")
-    rows = rows.select("conv_id", "turn", F.when(F.col("role") == "user", F.concat("role", F.col("turn").cast("string"))).alias("market"), F.when(F.col("turn") % 3 == 1, F.concat(F.lit("c"), F.col("turn").cast("string"))).alias("commodity"))
-    return quality.fill_context(rows, "conv_id", "turn", "market", "commodity")
+    turn = F.col("turn").cast("string")
+    rows = table(spark, d, "conversations").select(
+        "conv_id", "turn", F.struct("turn", "role", "text").alias("line"), F.when(F.col("role") == "user", F.concat("role", F.coalesce(turn, F.lit("-")))).alias("market"), F.when(F.col("turn") % 3 == 1, F.concat(F.lit("c"), turn)).alias("commodity")
+    )
+    return quality.fill_context(rows, "conv_id", "line", "market", "commodity").drop("line")
 
 
 @query("SELECT l_suppkey, sha256(string_agg(k, '|' ORDER BY k)) AS lineage FROM (SELECT l_suppkey, CAST(l_orderkey AS VARCHAR) || '-' || l_linenumber AS k FROM lineitem) GROUP BY 1")

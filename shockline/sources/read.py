@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -60,11 +62,20 @@ def replay_folder(spark: SparkSession, root: str, payload: T.StructType) -> Data
 
 
 def gold_documents(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Serving documents, one a line; a bad line fails the read, an empty file is an error of its own."""
-    rows = spark.read.schema(schema).option("mode", "FAILFAST").json(path)
-    if rows.isEmpty():
+    """Serving documents, one a line, checked against the contract. A bad line fails the read, and the error names
+    the file, the line and the fault; an empty file is an error of its own. A file is one task, as lines are counted."""
+    from ..operators.validate import document_reason
+
+    text = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("_path"), F.posexplode(F.split("value", "\r?\n")).alias("_line", "_raw")).where("trim(_raw) <> ''")
+    if text.isEmpty():
         raise ValueError(f"no documents in {path}")
-    return rows
+    got = text.withColumn("d", F.from_json("_raw", T.StructType([*schema, T.StructField("_bad", T.StringType())]), {"columnNameOfCorruptRecord": "_bad"}))
+    where = F.concat(F.lit(" in "), F.col("_path"), F.lit(" line "), (F.col("_line") + 1).cast("string"))
+    broken = F.col("d").isNull() | F.col("_bad").isNotNull()
+    rows = got.select("_path", "_line", "_raw", "d.*").withColumn("d", F.lit(True))
+    reason = F.when(broken, "invalid JSON").otherwise(document_reason())
+    checked = F.when(reason.isNull(), F.col("signal_id")).otherwise(F.raise_error(F.concat(reason, where)))
+    return rows.withColumn("signal_id", checked).select(*(f.name for f in schema))
 
 
 def json_array(spark: SparkSession, path: str, schema: str, field: str | None = None) -> DataFrame:
@@ -72,7 +83,7 @@ def json_array(spark: SparkSession, path: str, schema: str, field: str | None =
 
     The document must have the array, else the read is an error.
     """
-    text = spark.read.option("wholetext", True).text(path)
+    text = spark.read.text(path, wholetext=True)
     if field:
         got = F.from_json("value", f"struct<{field}: array<{schema}>>")[field]
     else:
@@ -95,7 +106,7 @@ def page_query(base: str, key: str, limit: int, offset: int) -> str:
 
 def geojson_features(spark: SparkSession, path: str, properties: str, crs: str | None = None) -> DataFrame:
     """(properties, geometry_json) of a feature collection; with crs, that of the file must contain it."""
-    text = spark.read.option("wholetext", True).text(path)
+    text = spark.read.text(path, wholetext=True)
     e = F.from_json("value", f"struct<crs: struct<properties: struct<name: string>>, features: array<struct<properties: {properties}, geometry: string>>>")
     feats = e["features"]
     bad = F.raise_error(F.lit(f"no features, or another projection, in {path}"))
@@ -103,10 +114,29 @@ def geojson_features(spark: SparkSession, path: str, properties: str, crs: str |
     return text.select(F.explode(F.when(ok, feats).otherwise(bad)).alias("f")).select("f.properties", F.col("f.geometry").alias("geometry_json"))
 
 
+def district_boundary(spark: SparkSession, path: str, properties: str, wanted: dict[str, str], expected: dict[str, str], crs: str = "7755") -> DataFrame:
+    """properties, geometry: the one feature whose properties are `wanted`, its rings in degrees.
+
+    Another projection, none or several such features, other values than `expected` in it, and rings that
+    aren't closed, cross themselves or lie outside of the globe are errors.
+    """
+    from ..functions.geo import ConicIndia, parse_geojson, ring_fault
+
+    found = geojson_features(spark, path, properties, crs).where(reduce(lambda a, b: a & b, (F.col(f"properties.{k}") == v for k, v in wanted.items())))
+    n = found.limit(2).count()
+    if n != 1:
+        raise ValueError(f"{'no' if not n else 'more than one'} feature {wanted} in {path}")
+    wrong = F.coalesce(F.lit(None).cast("string"), *(F.when(~F.coalesce(F.trim(F.col(f"properties.{k}")) == v, F.lit(False)), F.lit(f"unexpected_{k}")) for k, v in expected.items()))
+    rows = found.withColumn("geometry", ConicIndia().rings(parse_geojson("geometry_json")))
+    kind = F.when(F.get_json_object("geometry_json", "$.type") != "MultiPolygon", "expected_multipolygon")
+    fault = F.coalesce(kind, wrong, ring_fault(F.col("geometry")))
+    return rows.select("properties", F.when(fault.isNull(), F.col("geometry")).otherwise(F.raise_error(fault)).alias("geometry"))
+
+
 def market_snapshot(spark: SparkSession, path: str, scope: str) -> DataFrame:
     """Markets of a curated snapshot: right scope, full fields, https evidence, each market once; otherwise an error."""
     fields = ("source_state", "source_district", "source_market", "state_id", "district_id", "market_id", "evidence_url", "retrieved_at")
-    text = spark.read.option("wholetext", True).text(path)
+    text = spark.read.text(path, wholetext=True)
     e = F.from_json("value", f"struct<reference_scope: string, markets: array<struct<{', '.join(f'{f}: string' for f in fields)}>>>")
     rows = text.select(e.alias("e")).select(F.col("e.reference_scope").alias("_scope"), F.explode_outer("e.markets").alias("m")).select("_scope", "m.*")
     key = F.concat_ws("|", place_key("source_state"), place_key("source_market"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import time
 from collections.abc import Callable
 
@@ -77,7 +78,8 @@ def overwrite_dimension(rows: DataFrame, path: str, format: str = "parquet") ->
 def index_documents(signals: DataFrame, send: Callable[[list[tuple[str, str]]], None] | None = None, path: str | None = None) -> None:
     """Serving documents, each id once, checked against the contract first: as JSON lines, or through send in batches.
 
-    send(list of (id, document)) runs on the executors, once for up to 500 documents.
+    send(list of (id, document)) runs on the executors, once for up to 500 documents. It may return (id, status) of the
+    documents that failed. Transient errors, and documents that failed with 429 or from 500 on, are sent again; others are raised.
     """
     same_schema(signals)
     reason = document_reason()
@@ -92,14 +94,41 @@ def index_documents(signals: DataFrame, send: Callable[[list[tuple[str, str]]],
             for r in rows:
                 held.append((r["signal_id"], r["document"]))
                 if len(held) == 500:
-                    send(held)
+                    deliver(send, held)
                     held = []
             if held:
-                send(held)
+                deliver(send, held)
 
         docs.foreachPartition(post)
 
 
+class Undelivered(RuntimeError):
+    """Documents or messages that weren't taken; again: whether another attempt may help."""
+
+    def __init__(self, what: str, again: bool = False):
+        super().__init__(what)
+        self.again = again
+
+
+def transient(error: Exception) -> bool:
+    status = getattr(error, "status_code", None)
+    return getattr(error, "again", False) or isinstance(error, TimeoutError | OSError) or isinstance(status, int) and (status == 429 or status >= 500)
+
+
+def deliver(send: Callable[[list], object], documents: list[tuple[str, str]], **retry) -> None:
+    """Send, and send again what failed for the time being."""
+    left = list(documents)
+
+    def once() -> None:
+        nonlocal left
+        failed = dict(send(left) or ())
+        left = [d for d in left if d[0] in failed]
+        if left:
+            raise Undelivered(f"{len(left)} documents failed: {sorted(set(failed.values()))}", all(s == 429 or s >= 500 for s in failed.values()))
+
+    with_retry(once, transient, **retry)
+
+
 def with_retry(action: Callable[[], object], transient: Callable[[Exception], bool], attempts: int = 5, first: float = 1.0, sleep: Callable[[float], None] = time.sleep):
     """Calls action again after transient errors, waiting twice as long each time; others, and the last, are raised."""
     if attempts < 1:
@@ -127,6 +156,52 @@ class MemoryPublisher:
         self.messages.append((topic, key, value))
 
 
+class Publisher:
+    """Publishes one message at a time through a producer of the broker's interface, and waits until it is taken.
+
+    producer: produce(topic, key=, value=, on_delivery=) and flush(seconds) -> messages still on their way.
+    """
+
+    #: Settings for a broker's producer: no message twice, none lost.
+    SETTINGS = {"enable.idempotence": True, "acks": "all", "retries": 3, "delivery.timeout.ms": 30_000}
+
+    def __init__(self, producer, wait: float = 10):
+        self.producer, self.wait = producer, wait
+
+    @classmethod
+    def to_broker(cls, servers: str) -> Publisher:
+        from confluent_kafka import Producer  # where that library is installed
+
+        return cls(Producer({"bootstrap.servers": servers, **cls.SETTINGS}))
+
+    def publish(self, topic: str, key: str, value: str) -> None:
+        errors: list[object] = []
+        self.producer.produce(topic, key=key.encode(), value=value.encode(), on_delivery=lambda error, _: errors.append(error))
+        left = self.producer.flush(self.wait)
+        if left:
+            raise Undelivered(f"{left} messages are still on their way after {self.wait} s", True)
+        if failed := [e for e in errors if e is not None]:
+            raise Undelivered(str(failed[0]))
+
+
+class FileProducer:
+    """A producer that appends messages to a JSON file for each topic, in place of a broker."""
+
+    def __init__(self, folder: str):
+        self.folder, self.held = folder, []
+
+    def produce(self, topic: str, key: bytes, value: bytes, on_delivery: Callable[[object, object], None]) -> None:
+        self.held.append((topic, {"key": key.decode(), "value": value.decode()}, on_delivery))
+
+    def flush(self, seconds: float) -> int:
+        while self.held:
+            topic, message, told = self.held.pop(0)
+            with open(f"{self.folder}/{topic}.ndjson", "a") as f:
+                f.write(json.dumps(message) + "\n")
+            told(None, message)
+        return 0
+
+
 def pace(per_second: float, sleep: Callable[[float], None] = time.sleep) -> Callable[[], None]:
     if per_second <= 0:
         raise ValueError("per_second must be positive")

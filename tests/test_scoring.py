@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import statistics
 
 import pytest
 from hypothesis import given, settings
@@ -99,14 +100,21 @@ def test_seasonal_baseline_takes_the_month_of_earlier_days(spark):
 
 
 @settings(max_examples=8, deadline=None)
-@given(st.lists(st.tuples(st.integers(0, 800), st.integers(1, 50)), min_size=1, max_size=25))
-def test_two_seasonal_forms_agree(spark, rows):
+@given(st.lists(st.tuples(st.integers(0, 800), st.integers(1, 50), st.sampled_from("ab")), min_size=1, max_size=40))
+def test_seasonal_baselines_equal_brute_force(spark, rows):
     start = dt.datetime(2024, 1, 1)
-    h = spark.createDataFrame([("s", start + dt.timedelta(days=d), float(v)) for d, v in rows], "series string, event_time timestamp, price double")
-    a = baseline.seasonal_baseline(h, h, ["series"], "event_time", "price", 1)
-    b = baseline.running_baseline(h, ["series"], "event_time", "price").where("sample_size > 0").select(F.to_date("event_time").alias("target_day"), "median_price", "mad", "sample_size").distinct()
-    key = lambda x: (x.target_day, x.median_price, x.mad, x.sample_size)
-    assert sorted(map(key, a.collect())) == sorted(map(key, b.collect()))
+    each = [(k, start + dt.timedelta(days=d), float(v)) for d, v, k in rows]
+    h = spark.createDataFrame([*each, (None, start, 1.0), ("a", start, None), ("a", None, 1.0)], "series string, event_time timestamp, price double")
+    want = set()
+    for k, t, _ in each:
+        past = [v for s, u, v in each if s == k and u.month == t.month and u < t]
+        if past:
+            middle = statistics.median(past)
+            want.add((k, t.date(), middle, statistics.median(abs(v - middle) for v in past), len(past)))
+    got = baseline.seasonal_baseline(h, h, ["series"], "event_time", "price", 1).select("series", "target_day", "median_price", "mad", "sample_size").collect()
+    assert sorted(map(tuple, got)) == sorted(want)
+    running = baseline.running_baseline(h, ["series"], "event_time", "price").where("sample_size > 0").select("series", F.to_date("event_time"), "median_price", "mad", "sample_size").collect()
+    assert set(map(tuple, running)) == want and len(running) == sum((k, t.date()) in {w[:2] for w in want} for k, t, _ in each)
 
 
 def test_case_of_six_prices(spark):

@@ -115,14 +115,14 @@ def test_replay_needs_its_label(spark, tmp_path):
 
 
 def test_json_arrays_and_features(spark, tmp_path):
-    put(tmp_path, "a.json", json.dumps({"records": [{"State": "S"}, {"State": "T"}]}))
+    put(tmp_path, "a.json", json.dumps({"records": [{"State": "S"}, {"State": "T"}]}, indent=1))
     assert read.json_array(spark, str(tmp_path / "a.json"), "struct<State: string>", "records").count() == 2
     put(tmp_path, "b.json", json.dumps({"State": "S"}))
     assert read.json_array(spark, str(tmp_path / "b.json"), "struct<State: string>").count() == 1
     with pytest.raises(PySparkException):
         read.json_array(spark, str(tmp_path / "b.json"), "struct<State: string>", "records").collect()
     f = {"type": "FeatureCollection", "crs": {"properties": {"name": "urn:ogc:def:crs:EPSG::7755"}}, "features": [{"properties": {"district": "D"}, "geometry": {"type": "Point", "coordinates": [1, 2]}}]}
-    put(tmp_path, "c.json", json.dumps(f))
+    put(tmp_path, "c.json", json.dumps(f, indent=1))
     r = read.geojson_features(spark, str(tmp_path / "c.json"), "struct<district: string>", "7755").first()
     assert r.properties.district == "D" and json.loads(r.geometry_json)["type"] == "Point"
     with pytest.raises(PySparkException):
