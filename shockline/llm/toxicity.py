@@ -14,8 +14,9 @@ import numpy as np
 import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from .common import as_input, table, use_cache
+from .common import as_input, table, use_cache, written
 from .labelled import held_out, labelled_rows
 
 #: Terms that name people; the terms of a line stand for one another.
@@ -130,32 +131,52 @@ def score_text(text: str | None, model: dict, features: Features) -> float:
 
 
 def train(docs: DataFrame, labels: DataFrame, modulus: int = 5, fold: int = 0, most: int = MOST_ROWS) -> dict:
-    """Fit on at most `most` labelled rows outside the fold; without any, a score of 0.5 for all."""
+    """Fit on at most `most` labelled rows outside the fold; without any, a score of 0.5 for all.
+
+    The features' counts are taken on the executors; the driver gets those features that the labels speak
+    for or against, and of each row those features alone.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         f = Features()
         for b in batches:
             own, twin = [], []
             for text in b["text"]:
-                own.append(f.of(text).tobytes())
+                own.append(f.of(text).tolist())
                 other = swapped(text)
-                twin.append(None if other is None else f.of(other).tobytes())
+                twin.append(None if other is None else f.of(other).tolist())
             yield pd.DataFrame({"label": b["label"], "h": b["h"], "own": own, "twin": twin})
 
-    rows = labelled_rows(docs, labels, "toxic", modulus, fold, most).mapInPandas(run, "label int, h long, own binary, twin binary").toPandas()
-    if not len(rows):
+    rows = labelled_rows(docs, labels, "toxic", modulus, fold, most).mapInPandas(run, "label int, h long, own array<int>, twin array<int>")
+    rows = written(rows, "toxicity_rows")
+    n, toxic = rows.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0))).first()
+    if not n:
         return {"bias": 0.0, "weights": {}}
-    rows = rows.sort_values(["h", "label"], kind="stable")
-    own = [np.frombuffer(x, np.uint32) for x in rows["own"]]
-    twin = [None if x is None else np.frombuffer(x, np.uint32) for x in rows["twin"]]
-    return fit(rows["label"].to_numpy(np.float64), own, twin)
+    counts = rows.select("label", F.explode("own").alias("f")).groupBy("f").agg(F.count("*").alias("have"), F.sum("label").alias("bad"))
+    rate = (toxic + 0.5) / (n + 1)
+    z = (F.col("bad") - F.col("have") * rate) / F.sqrt(F.col("have") * (rate * (1 - rate)))
+    chosen = counts.where((F.col("have") >= LEAST_TEXTS) & (F.abs(z) >= LEAST_Z - 1e-6)).select("f").toPandas()["f"].to_numpy(np.int64)
+    wanted = docs.sparkSession.sparkContext.broadcast(np.union1d(chosen, np.array([f for w in SWAP for f in word_features(w)], np.int64)))
+
+    def keep(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def cut(x: object) -> bytes | None:
+            return None if x is None else np.intersect1d(np.asarray(x, np.int64), wanted.value, True).astype(np.uint32).tobytes()
+
+        for b in batches:
+            yield pd.DataFrame({"label": b["label"], "h": b["h"], "own": [cut(x) for x in b["own"]], "twin": [cut(x) for x in b["twin"]]})
+
+    few = rows.mapInPandas(keep, "label int, h long, own binary, twin binary").toPandas().sort_values(["h", "label"], kind="stable")
+    own = [np.frombuffer(x, np.uint32) for x in few["own"]]
+    twin = [None if x is None else np.frombuffer(x, np.uint32) for x in few["twin"]]
+    return fit(few["label"].to_numpy(np.float64), own, twin)
 
 
 def score(docs: DataFrame, model: dict, modulus: int = 5, fold: int = 0) -> DataFrame:
     """doc_id, held_out, score, predicted for each row of docs, from the whole text alone.
 
-    Null and empty texts get the score of a text without words. A null doc_id is not held out. Repeated
-    rows give a row each; further columns are ignored.
+    Null and empty texts get the score of a text without words; texts of any length are scored whole. A null
+    doc_id is not held out. Repeated rows give a row each; further columns are ignored; an empty table gives
+    an empty result.
     """
     key = xxhash.xxh64_intdigest(repr(sorted(model["weights"].items())) + repr(model["bias"]))
 
