@@ -305,7 +305,8 @@ def tokenize(docs: DataFrame, vocabulary: str, pattern: str, keep_ids: bool = Fa
     """Encode each whole text and decode it again: counts, digests and, with keep_ids, ids as array<int>.
 
     A null or empty text has no tokens. Nulls in doc_id pass through; repeated rows give a row each;
-    further columns of docs are ignored. Long texts are processed whole.
+    further columns of docs are ignored. Texts of any length are processed whole. An empty table gives an
+    empty result.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

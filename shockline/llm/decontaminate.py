@@ -123,9 +123,15 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, con
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of docs whose id is in none of the pairs found; rows without an id stay."""
-    gone = contaminated(docs, benchmark).select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+    """The rows of docs whose id is in none of the pairs found; columns as they are, whatever their names.
+
+    Rows without an id stay, and so do null and empty texts, unless another row of the id is found. Without
+    benchmark items all rows stay.
+    """
+    gone = contaminated(docs, benchmark).select(F.struct("doc_id").alias("_gone")).distinct()
+    own = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+    kept = own.join(gone, F.col("row.doc_id").cast("long") == F.col("_gone.doc_id"), "left_anti")
+    return kept.select(*(F.col(f"row.`{c}`").alias(c) for c in docs.columns))
 
 
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

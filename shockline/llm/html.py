@@ -205,7 +205,8 @@ def repeated(own: np.ndarray, lengths: np.ndarray, near: list[np.ndarray]) -> np
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars for each row of pages.
 
-    Null or empty html gives an empty text. A null url has the empty host and path. Repeated rows give
+    Null or empty html gives an empty text; pages of any length are read whole. A null url has the empty host
+    and path. An empty table gives an empty result. Of neighbours that are equally near the earlier comes first. Repeated rows give
     a row each. Further columns are ignored. Pages of a host with the very same lines are compared once,
     at the first of their paths, and all get its result; so a neighbour always differs. What is left is
     dealt out by ranges of host and path, so a host of any size is spread over tasks; the pages at the

@@ -187,8 +187,9 @@ def train(docs: DataFrame, labels: DataFrame, modulus: int = 3, fold: int = 1, m
 def score(docs: DataFrame, model: dict, modulus: int = 3, fold: int = 1) -> DataFrame:
     """doc_id, held_out, score, predicted for each row of docs, from the whole text alone.
 
-    Null and empty texts are scored as the zero vector. A null doc_id is not held out. Repeated rows
-    give a row each; further columns are ignored.
+    Null and empty texts are scored as the zero vector; texts of any length are scored whole. A null doc_id
+    is not held out. Repeated rows give a row each; further columns are ignored; an empty table gives an
+    empty result.
     """
     sent = docs.sparkSession.sparkContext.broadcast(model)  # of fixed size
 
@@ -207,7 +208,11 @@ def score(docs: DataFrame, model: dict, modulus: int = 3, fold: int = 1) -> Data
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, least: float = 0.5) -> DataFrame:
-    """The rows of docs whose whole text scores at least `least`; columns as they are."""
+    """The rows of docs whose whole text scores at least `least`; columns as they are, whatever their names.
+
+    Null and empty texts are scored as the zero vector. Rows without an id and repeated rows are decided by their
+    text alone. Without labels of both classes all rows have one score. An empty table gives an empty result.
+    """
     model = train(docs, labels)
     sent = docs.sparkSession.sparkContext.broadcast(model)
 

@@ -198,13 +198,16 @@ def near_duplicates(docs: DataFrame, radius: int = 3, block: int = BLOCK, refine
 def keep_one(docs: DataFrame, radius: int = 3) -> DataFrame:
     """docs with one row of each component: that of the smallest doc_id, or of a null one if it has no other.
 
-    Of several texts of that id in the component the one of the smallest hash stays; equal rows become one.
+    Of several texts of that id in the component the one of the smallest hash stays; equal rows become one. Null
+    and empty texts are one component. Columns of docs may have any names; an empty table gives an empty result.
     """
     fps = written(fingerprints(docs, with_hash=True), "fingerprints")
     rows = fps.join(components(fps, radius).select("fp", "component"), "fp")
     best = rows.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h")).alias("best"))
-    best = written(best.select(F.col("best.doc_id").alias("_id"), F.col("best.h").alias("_h")).distinct(), "decisions")
-    kept = docs.join(best, docs["doc_id"].cast("long").eqNullSafe(best["_id"]) & (F.xxhash64(docs["text"].cast("string")) == best["_h"]), "left_semi")
+    best = written(best.select(F.struct(F.col("best.doc_id").alias("id"), "best.h").alias("best")).distinct(), "decisions")
+    own = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+    same = F.col("row.doc_id").cast("long").eqNullSafe(F.col("best.id")) & (F.xxhash64(F.col("row.text").cast("string")) == F.col("best.h"))
+    kept = own.join(best, same, "left_semi").select(*(F.col(f"row.`{c}`").alias(c) for c in docs.columns))
     return kept.dropDuplicates(["doc_id", "text"])
 
 

@@ -10,6 +10,7 @@ import pytest
 import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from shockline.llm import common, decontaminate, simhash, substring
 
@@ -328,3 +329,20 @@ def test_pipeline(spark):
     assert not any(b in " ".join(re.findall(r"[^\W_]+", r.text.lower())) for r in clean.collect() for b in bench)
     assert {r.doc_id for r in c.STAGES[4][1](spark, clean, SF).collect()} == {r.doc_id for r in clean.collect()}
     assert c.run(spark, SF).count() == clean.count()
+
+
+def test_pipeline_stages_of_awkward_rows(spark):
+    import corpus_pipeline as c
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    names = {"_gone": "1", "row": "2", "best": "3", "h": "4", "_cut": "5", "label": "6", "words": "7"}
+    odd = docs.limit(40).unionByName(docs.limit(5)).unionByName(docs.limit(3).withColumn("doc_id", F.lit(None).cast("long"))).unionByName(docs.limit(2).withColumn("text", F.lit(None).cast("string")))
+    odd = odd.unionByName(docs.limit(2).withColumn("text", F.lit(""))).withColumns({k: F.lit(v) for k, v in names.items()})
+    rows = spark.createDataFrame(odd.collect(), odd.schema)
+    for _, stage in c.STAGES[:4]:
+        out = stage(spark, rows, SF)
+        assert out.columns == rows.columns and [t for _, t in out.dtypes] == [t for _, t in rows.dtypes]
+        got = out.collect()
+        assert len(got) <= rows.count() and all(all(r[k] == v for k, v in names.items()) for r in got)
+        assert stage(spark, rows.where("false"), SF).count() == 0
+    assert c.STAGES[4][1](spark, rows, SF).count() == rows.count()
