@@ -139,9 +139,10 @@ def block_pairs(members: DataFrame, key: list[str], order: str, block: int) -> D
 
     Adds lo and hi, the numbers of the blocks that meet, and part, the member's own. A key with at
     most `block` members is one task (0, 0); a member that is alone in its key meets nobody and goes.
-    A member's block is a hash of `order`, so no window gathers a key.
+    A member's block is a hash of `order`, so no window gathers a key. The counts are a written table, so
+    the join with them has exchanges of its own, or none, and a key with very many members is split.
     """
-    counts = members.groupBy(*key).agg(F.count("*").alias("_n")).where("_n > 1")
+    counts = written(members.groupBy(*key).agg(F.count("*").alias("_n")).where("_n > 1"), "members_of_keys")
     n = members.join(counts, key).withColumn("_b", F.ceil(F.col("_n") / F.lit(block)).cast("int"))
     n = n.withColumn("part", F.pmod(F.xxhash64(order), F.col("_b")).cast("int"))
     n = n.withColumn("_j", F.explode(F.sequence(F.lit(0), F.col("_b") - 1)))

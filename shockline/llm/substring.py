@@ -185,14 +185,20 @@ def jaccard_links(sets: list[np.ndarray], least: float) -> tuple[np.ndarray, np.
     """Links that join all sets connected by similarities of at least `least`; fewer links than sets."""
     n = len(sets)
     size = np.array([len(s) for s in sets])
-    owner = np.repeat(np.arange(n), size)
-    _, place = np.unique(np.concatenate(sets), return_inverse=True)
     common = np.zeros((n, n), np.float32)
-    for at in range(0, int(place.max(initial=-1)) + 1, 4096):
-        own = (place >= at) & (place < at + 4096)
-        m = np.zeros((n, 4096), np.float32)
-        m[owner[own], place[own] - at] = 1
-        common += m @ m.T
+    if n <= 16:
+        each = [frozenset(s.tolist()) for s in sets]
+        for i in range(n):
+            for j in range(i, n):
+                common[i, j] = common[j, i] = len(each[i] & each[j])
+    else:
+        owner = np.repeat(np.arange(n), size)
+        _, place = np.unique(np.concatenate(sets), return_inverse=True)
+        for at in range(0, int(place.max(initial=-1)) + 1, 4096):
+            own = (place >= at) & (place < at + 4096)
+            m = np.zeros((n, 4096), np.float32)
+            m[owner[own], place[own] - at] = 1
+            common += m @ m.T
     near = common >= least * (size[:, None] + size - common) - 1e-6
     free, a, b = np.ones(n, bool), [], []
     for i in range(n):
@@ -210,7 +216,7 @@ def jaccard_links(sets: list[np.ndarray], least: float) -> tuple[np.ndarray, np.
 def band_members(paragraphs: DataFrame) -> DataFrame:
     """uid, key: the distinct lines that share a band with another one."""
     keys = paragraphs.select("uid", F.explode("bands").alias("key"))
-    crowded = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
+    crowded = written(keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"), "crowded_bands")
     return written(keys.join(crowded, "key"), "band_members")
 
 
@@ -221,9 +227,12 @@ def paragraph_links(members: DataFrame, words: DataFrame, similarity: float, blo
     def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for bounds, rows in runs(batches, ["key", "lo", "hi"]):
             uid, raw, out = rows["uid"].to_numpy(), rows["words16"].to_list(), []
+            size = np.array([len(x) // 2 for x in raw])
+            every = shingles(np.frombuffer(b"".join(raw), "<u2").astype(np.uint64))  # those over two lines are left out below
+            start = np.cumsum(size) - size
             for a, b in zip(bounds[:-1], bounds[1:], strict=True):
                 if b - a > 1:
-                    i, j = jaccard_links([np.unique(shingles(np.frombuffer(x, "<u2").astype(np.uint64))) for x in raw[a:b]], similarity)
+                    i, j = jaccard_links([np.unique(every[start[k] : start[k] + size[k] - SHINGLE + 1]) for k in range(a, b)], similarity)
                     out.append(pd.DataFrame({"src": uid[a + i], "dst": uid[a + j]}))
             if out:
                 yield pd.concat(out)
