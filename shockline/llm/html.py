@@ -2,8 +2,9 @@
 
 A page is cut into blocks of text. Each page is paired with the page of its host whose URL path is
 nearest (near it in path order, longest common beginning); the longest common subsequence of the
-two pages' lines is what the site repeats, and is deleted, inside an article or main element and outside
-of it; all other lines stay. A page that shares more than half of the article is a copy of it: it says
+two pages' lines is what the site repeats, and is deleted; all other lines stay. Inside an article or main
+element a line goes only if it is in that of every near page, and those are three at least, as articles may
+share a line by what they say. A page that shares more than half of the article is a copy of it: it says
 nothing about the lines inside. Lines of marked menus, headers, footers, sidebars, notices, adverts,
 forms and comments take no part and go in any case; a class or id marks by its whole name, and never an
 element that holds most of the article or of the page.
@@ -27,7 +28,9 @@ TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|<
 ATTRIBUTE = re.compile(r"""([^\s=/]+)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s>]+))?""")
 SPACE = re.compile(r"\s+")
 #: Neighbours in path order that a page may be compared with, on each side.
-NEAR = 2
+NEAR = 3
+#: Near pages that must all have a line of an article for it to go.
+WITNESSES = 3
 # Element names of the HTML standard, and what sites call their furniture.
 RAW = {"script", "style", "noscript", "template", "textarea", "title", "iframe", "svg", "math", "object", "select", "button", "canvas", "audio", "video", "noembed", "noframes", "xmp"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
@@ -184,22 +187,26 @@ def compared(lines: list[tuple[str, bool]]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def repeated(own: np.ndarray, lengths: np.ndarray, near: list[np.ndarray]) -> np.ndarray:
-    """Places of the lines that the site repeats, by the first of the near pages that isn't a copy.
+    """Places of the lines that the site repeats, by the near pages that aren't copies.
 
-    A page is a copy if no line or at most half of the article is left. If all are, the first one that leaves
-    some line decides outside of the article, and the article stays.
+    A page is a copy if no line or at most half of the article is left. Outside of an article the nearest page that
+    isn't a copy decides, or else the first one that leaves some line. Articles may share a line by what they say, so
+    inside of one a line goes if all near pages have it, and those are WITNESSES at least.
     """
-    inside, other = np.minimum(lengths, 0), np.empty(0, np.int64)
+    inside, outside, other, seen, n = np.minimum(lengths, 0), None, np.empty(0, np.int64), np.zeros(len(own), np.int64), 0
     for lines in near:
         at = np.flatnonzero(np.isin(own, lines))
         at = at[common_lines(own[at], lines[np.isin(lines, own)])]
         if len(at) == len(own):
             continue
         if 2 * inside[at].sum() >= inside.sum():  # both are negative, or there is no article
-            return at
-        if not len(other):
+            outside = at[lengths[at] > 0] if outside is None else outside
+            seen[at] += 1
+            n += 1
+        elif not len(other):
             other = at[lengths[at] > 0]
-    return other
+    gone = other if outside is None else outside
+    return np.union1d(gone, np.flatnonzero((seen == n) & (lengths < 0))) if n >= WITNESSES else gone
 
 
 def extract(pages: DataFrame) -> DataFrame:
@@ -210,7 +217,7 @@ def extract(pages: DataFrame) -> DataFrame:
     a row each. Further columns are ignored. Pages of a host with the very same lines are compared once,
     at the first of their paths, and all get its result; so a neighbour always differs. What is left is
     dealt out by ranges of host and path, so a host of any size is spread over tasks; the pages at the
-    borders of the ranges take their neighbours, two on each side, from a small table of a row a range.
+    borders of the ranges take their neighbours, three on each side, from a small table of a row a range.
     """
     rows = as_input(pages, {"page_id": "long", "url": "string", "html": "string"}).withColumn("h", F.xxhash64("html"))
 

@@ -258,9 +258,15 @@ def test_copies_under_several_addresses_keep_their_text(spark):
 
 
 def test_lines_are_deleted_where_the_nearest_page_has_them(spark):
-    """Inside an article and outside; a line that no neighbour shares stays, and so does a copied article."""
-    one, two = ("<article><p>Sign up for our letter</p><p>{0} story in an article with some words</p></article><div>{0} body outside of it</div><p>All rights reserved</p>".replace("{0}", x) for x in ("First", "Second"))
-    assert texts(spark, [(1, "http://h/a", one), (2, "http://h/b", two)]) == [(i, f"{x} story in an article with some words {x} body outside of it", len(x) * 2 + 56) for i, x in ((1, "First"), (2, "Second"))]
+    """Outside of an article; inside if all near pages have them, and those are three at least. What no neighbour shares
+    stays, and so does a copied article."""
+    site = "<article><p>Sign up for our letter</p><p>{0} story in an article with some words</p></article><div>{0} body outside of it</div><p>All rights reserved</p>"
+    names = ["First", "Second", "Third", "Fourth"]
+    pages = [(i, f"http://h/{i}", site.replace("{0}", x)) for i, x in enumerate(names)]
+    assert texts(spark, pages) == [(i, f"{x} story in an article with some words {x} body outside of it", len(x) * 2 + 56) for i, x in enumerate(names)]
+    letter = "Sign up for our letter "
+    assert texts(spark, pages[:2]) == [(i, f"{letter}{x} story in an article with some words {x} body outside of it", len(x) * 2 + 56 + len(letter)) for i, x in enumerate(names[:2])]
+    one = site.replace("{0}", "First")
     copies = [(i, f"http://h/{i}", one + f"<div>Seen at address {i}</div>") for i in (1, 2)]
     assert [x[1] for x in texts(spark, copies)] == [f"Sign up for our letter First story in an article with some words Seen at address {i}" for i in (1, 2)]
 
