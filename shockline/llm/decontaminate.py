@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from .common import as_input, table, written
 
 WINDOW, CONTAINMENT = 5, 0.8
-#: A broadcast beyond these row counts doesn't happen; the join then shuffles.
+#: A broadcast beyond these row counts doesn't happen; the join then shuffles. Rows hold three numbers at most, so
+#: these are 5 MB; an item's windows are counted, its texts are never broadcast.
 BROADCAST_WINDOWS, BROADCAST_DOCS = 200_000, 200_000
 MARK = ""
 # Unit words, singular, plural and short.
