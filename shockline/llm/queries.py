@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, html, quality, simhash, substring, tokenfile, topk, toxicity, warc
+from . import bpe, decontaminate, html, phrases, quality, simhash, substring, tokenfile, topk, toxicity, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -21,8 +21,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_decontaminate": decontaminate.op8_decontaminate,
         "op9_quality": quality.op9_quality,
         "op10_html_text": html.op10_html,
+        "op13_phrases": phrases.op13_phrases,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_nra_topk": topk.ORACLE, "op8_decontaminate": decontaminate.ORACLE}
+    return {"op5_nra_topk": topk.ORACLE, "op8_decontaminate": decontaminate.ORACLE, "op13_phrases": phrases.ORACLE}
