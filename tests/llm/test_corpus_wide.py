@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import random
 import re
-from collections import Counter
+import zlib
+from collections import Counter, defaultdict
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
-from shockline.llm import phrases
+from shockline.llm import packing, phrases
 
 from ..conftest import SF
 from ..test_oracle import plain
@@ -65,3 +68,96 @@ def test_collocations_of_nothing(spark):
 def test_query_13_equals_sql(spark, duck):
     got, want = plain(phrases.op13_phrases(spark, SF).toPandas()), plain(duck.sql(phrases.ORACLE).df())
     assert len(got) and got.equals(want)
+
+
+P = pytest.importorskip("public_tokenizers")
+WORD_BPE = P.path("word_bpe_49k.json")
+ODD = ["", " ", "a  b\n\n c\td", "don't WE'LL 1 22", "x" * 3000, "e\u0301 \u0301e\n\u0301", "ß é ñ 中文 𝄞 İ Σ", "\x1c\x85\u2003\u00a0a\u00a0b", "<|endoftext|> <|startoftext|>", None, "word.\nNext", "\r\n\x0b"]
+
+
+@pytest.fixture(scope="module")
+def word_bpe():
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(WORD_BPE)
+    t.encode_special_tokens = True
+    return t
+
+
+def test_words_are_encoded_as_by_the_library(word_bpe):
+    r = random.Random(5)
+    texts = [*ODD, *("".join(r.choice("abS't \n\t,.1é中\u0301\x1c\xa0!<|>") for _ in range(r.randint(0, 25))) for _ in range(2000))]
+    every, ends = packing.WordIds(WORD_BPE, 50).ids(pa.array(texts))
+    for k, t in enumerate(texts):
+        assert every[ends[k] : ends[k + 1]].tolist() == word_bpe.encode(t or "", add_special_tokens=False).ids, repr(t)
+
+
+def check_packing(rows, docs, word_bpe, capacity=4096):
+    """rows: of pack(keep_ids); docs: (doc_id, text). Each id once, sequences gapless, padding as stated."""
+    want, got, sequences = Counter(), Counter(), defaultdict(list)
+    for doc_id, text in docs:
+        want[doc_id, tuple([*word_bpe.encode(text or "", add_special_tokens=False).ids, 2])] += 1
+    pieces = defaultdict(list)
+    for r in rows:
+        assert r["length"] == len(r["ids"]) >= 1 and r["ids_crc32"] == zlib.crc32(np.array(r["ids"], "<u4").tobytes())
+        pieces[r["doc_id"], r["doc_tokens"]].append(r)
+        sequences[r["sequence_id"]].append((r["offset"], r["length"]))
+    for (doc_id, total), own in pieces.items():
+        starts = defaultdict(list)
+        for r in own:
+            starts[r["start"]].append(tuple(r["ids"]))
+        assert all(len(set(v)) == 1 for v in starts.values()) or doc_id is None
+        whole = tuple(i for s in sorted(starts) for i in starts[s][0])
+        assert len(whole) == total
+        got[doc_id, whole] += len(starts[0])
+    assert got == want
+    padded = 0
+    for parts in sequences.values():
+        at = 0
+        for offset, length in sorted(parts):
+            assert offset == at
+            at += length
+        assert at <= capacity
+        padded += 0 if at & (at - 1) == 0 else capacity - at
+    return len(sequences), padded
+
+
+def test_packing_is_whole_and_tight(spark, word_bpe):
+    r = random.Random(9)
+    docs = [(i, " ".join(r.choice(["a", "stormy", "Xqzjk", "."]) for _ in range(int(r.paretovariate(0.7)) % 9000))) for i in range(300)]
+    docs += [(1000 + i, t) for i, t in enumerate(ODD)] + [(None, "null id")] + [(5000, "same text")] * 3
+    frame = spark.createDataFrame([(i, t, 1, 2) for i, t in docs], "doc_id long, text string, `length` int, ids int").repartition(3)
+    out = packing.pack(frame, WORD_BPE, keep_ids=True)
+    n, padded = check_packing(out.collect(), docs, word_bpe)
+    assert padded <= n
+    total = packing.padding(out).first()
+    assert (total["sequences"], total["padded"]) == (n, padded)
+    small = packing.pack(frame, WORD_BPE, capacity=64, slack=2, keep_ids=True)
+    n, padded = check_packing(small.collect(), docs, word_bpe, 64)
+    assert padded <= 2 * n
+
+
+def test_full_bins_have_their_class_s_number_of_pieces():
+    of = packing.classes(4096, 1)
+    assert list(of.values())[:12] == [1, 2, 3, 4, 5, 7, 8, 9, 13, 15, 16, 21] and all(4095 <= s * k <= 4096 for s, k in of.items())
+    bins = packing.Bins(4096, 1, 0)
+    r = random.Random(2)
+    for i in range(500):
+        bins.add(i, np.zeros(r.randint(1, 9000), np.uint32))
+    by = defaultdict(list)
+    for row in bins.rows:
+        by[row[5]].append(row[2])
+    assert all(len(set(sizes)) == 1 and len(sizes) == of[sizes[0]] for sizes in by.values())
+
+
+def test_packing_of_nothing(spark):
+    out = packing.pack(spark.createDataFrame([], "doc_id long, text string"), WORD_BPE)
+    assert out.count() == 0 and packing.padding(out).first()["sequences"] == 0
+
+
+def test_query_12_is_whole(spark, word_bpe):
+    docs = [tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
+    kept = packing.pack(spark.read.parquet(f"{SF}/documents.parquet"), WORD_BPE, keep_ids=True)
+    n, padded = check_packing(kept.collect(), docs, word_bpe)
+    assert padded <= n
+    assert sorted(packing.op12_packing(spark, SF).collect()) == sorted(kept.drop("ids").collect())
