@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, html, packing, phrases, quality, simhash, substring, tokenfile, topk, toxicity, warc
+from . import bpe, decontaminate, html, packing, phrases, quality, simhash, substring, tokenfile, topk, toxicity, warc, whitening
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -21,6 +21,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_decontaminate": decontaminate.op8_decontaminate,
         "op9_quality": quality.op9_quality,
         "op10_html_text": html.op10_html,
+        "op11_whitening": whitening.op11_whitening,
         "op12_packing": packing.op12_packing,
         "op13_phrases": phrases.op13_phrases,
     }

@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+import math
 import random
 import re
 import zlib
 from collections import Counter, defaultdict
+from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
 import pytest
 
-from shockline.llm import packing, phrases
+from shockline.llm import packing, phrases, whitening
 
 from ..conftest import SF
 from ..test_oracle import plain
@@ -161,3 +163,89 @@ def test_query_12_is_whole(spark, word_bpe):
     n, padded = check_packing(kept.collect(), docs, word_bpe)
     assert padded <= n
     assert sorted(packing.op12_packing(spark, SF).collect()) == sorted(kept.drop("ids").collect())
+
+
+def brute_whitening(rows, scale=1024, offset=100_000):
+    """Exact n, S and n * x - S of the clean rows of one length, and the covariance in doubles."""
+    clean = [(i, [math.floor(Fraction(c) * scale) + offset for c in v]) for i, v in rows if v and all(c is not None and math.isfinite(c) for c in v)]
+    n, d = len(clean), len(clean[0][1])
+    s = [sum(x[j] for _, x in clean) for j in range(d)]
+    z = [(i, [n * x[j] - s[j] for j in range(d)]) for i, x in clean]
+    cov = np.array([[float(Fraction(sum(a[j] * a[k] for _, a in z), n**3)) for k in range(d)] for j in range(d)])
+    return n, z, cov
+
+
+def check_whitening(out, rows, components=8):
+    n, z, cov = brute_whitening(rows)
+    e = np.linalg.eigvalsh(cov)[::-1]
+    by = defaultdict(dict)
+    assert len(out) == len(z) * components
+    for r in out:
+        assert r["n"] == n and abs(r["explained"] / (e[r["component"] - 1] / e.sum()) - 1) < 1e-9
+        by[r["vec_id"]][r["component"]] = r
+    want = {i: sum(x * x for x in a) for i, a in z}
+    assert {i: int(r[1]["deviation"]) for i, r in by.items()} == want
+    y = np.array([[by[i][c]["whitened"] for c in range(1, components + 1)] for i, _ in z])
+    x = np.array([[v / n for v in a] for _, a in z])
+    # a component is an eigenvector: x whitened along it has covariance e * u with x
+    for c in range(components):
+        u = (x * y[:, [c]]).mean(axis=0) / math.sqrt(e[c])
+        assert abs(np.linalg.norm(u) - 1) < 1e-9 and np.abs(cov @ u - e[c] * u).max() < 1e-9 * e[0]
+        assert np.abs(x @ u / math.sqrt(e[c]) - y[:, c]).max() < 1e-9
+    centred = y - y.mean(axis=0)
+    worst = np.abs(centred.T @ centred / n - np.eye(components)).max()
+    assert worst < 1e-9 and len({r["identity_error"] for r in out}) == 1 and abs(out[0]["identity_error"] - worst) < 1e-12
+
+
+def some_vectors(n=300, d=12):
+    r = np.random.default_rng(4)
+    v = (r.normal(size=(n, d)) * np.linspace(0.2, 5, d) @ r.normal(size=(d, d)) + 3).tolist()
+    return [(i, x) for i, x in enumerate(v)]
+
+
+SCHEMA_11 = "vec_id long, embedding array<double>, n int, d int, v string, component int"
+
+
+def frame_11(spark, rows):
+    return spark.createDataFrame([(i, x, 1, 2, "x", 3) for i, x in rows], SCHEMA_11).repartition(3)
+
+
+@pytest.mark.parametrize("model_bytes", [whitening.MODEL_BYTES, -1])
+def test_whitening_equals_fractions(spark, monkeypatch, model_bytes):
+    monkeypatch.setattr(whitening, "MODEL_BYTES", model_bytes)
+    bad = [(900, None), (901, []), (902, [None] * 12), (903, [1.0] * 11 + [math.inf]), (904, [math.nan] + [0.0] * 11)]
+    rows = some_vectors() + bad
+    check_whitening(whitening.whiten(frame_11(spark, rows)).collect(), rows)
+
+
+def test_whitening_is_exact_for_huge_entries_and_any_shift(spark, monkeypatch):
+    rows = some_vectors(60, 9)
+    huge = [(i, [x * 10.0 ** (8 * (j % 5)) for j, x in enumerate(v)]) for i, v in rows]
+    n, z, _ = brute_whitening(huge)
+    want = {i: sum(x * x for x in a) for i, a in z}
+    monkeypatch.setattr(whitening, "BLOCKS", 1)
+    out = whitening.whiten(frame_11(spark, huge), components=3, shift=-(10**30)).collect()
+    assert {r["vec_id"]: int(r["deviation"]) for r in out} == want and max(want.values()) > 2**63
+    check_whitening(whitening.whiten(frame_11(spark, rows), shift=12345).collect(), rows)
+
+
+def test_whitening_of_repeats_lengths_and_constants(spark):
+    rows = [(1, [1.0, 2.0]), (1, [1.0, 2.0]), (None, [3.0, 2.0]), (4, [7.0]), (5, [1.0, 1.0, 1.0]), (6, [1.0, 1.0, 1.0])]
+    out = whitening.whiten(frame_11(spark, rows)).collect()
+    assert sorted((r["vec_id"] or 0, r["component"], r["n"], r["explained"], round(abs(r["whitened"]), 6)) for r in out) == [(0, 1, 3, 1.0, 1.414214), (1, 1, 3, 1.0, 0.707107), (1, 1, 3, 1.0, 0.707107)]
+    assert whitening.whiten(frame_11(spark, [])).count() == 0
+
+
+def test_products_and_squares_are_exact():
+    r = random.Random(8)
+    for size in (10, 1 << 19, 1 << 45, 1 << 90):
+        a = np.array([[r.randint(-size, size) for _ in range(5)] for _ in range(40)], object)
+        whole = sum(m.astype(object) << bits for bits, m in whitening.products(a))
+        assert (whole == a.T.dot(a)).all() and (whitening.squares(a) == (a * a).sum(axis=1)).all()
+
+
+def test_query_11_equals_fractions(spark):
+    rows = [tuple(r) for r in spark.read.parquet(f"{SF}/embeddings.parquet").select("vec_id", "embedding").collect()]
+    out = whitening.op11_whitening(spark, SF)
+    assert dict(out.dtypes)["deviation"] == "bigint" and dict(out.dtypes)["n"] == "bigint" and dict(out.dtypes)["component"] == "int"
+    check_whitening(out.collect(), rows)
