@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import os
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,6 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import as_input, slices, table, use_cache
+from .tokenfile import byte_letters
 
 CAPACITY, SLACK = 4096, 1
 #: Bytes of text that are encoded at a time; rows of a result batch; words that a Python worker remembers, in each half of its cache.
@@ -34,9 +36,13 @@ class WordIds(dict):
     """Ids by the tokenizers library, word by word.
 
     The vocabulary's rules never join what white space parts, and white space has no ids; so a text is
-    split at blanks and line ends, and each distinct word is encoded once. Strings of special tokens are ordinary text.
+    split at blanks and line ends, and each distinct word is encoded once. A letter or digit is never joined with a sign
+    behind it, so these are looked up apart. Words of plain letters are one piece, which goes to the library's merges
+    directly, in the letters that stand for its bytes. Strings of special tokens are ordinary text.
     """
 
+    SIGNS = ".,;:!?)"
+
     def __init__(self, path: str, size: int = CACHE):
         super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -44,10 +50,23 @@ class WordIds(dict):
 
         self.library, self.size, self.older = Tokenizer.from_file(path), size, {}
         self.library.encode_special_tokens = True
+        self.merges, self.letters = self.library.model.tokenize, byte_letters()
+
+    def made(self, word: str) -> bytes:
+        if word.isalpha():
+            lower = word.lower()
+            if word.isascii():
+                return array("I", [t.id for t in self.merges(lower)]).tobytes()
+            if lower.isalpha() and max(word) <= "\u024f":
+                return array("I", [t.id for t in self.merges(lower.encode().decode("latin-1").translate(self.letters))]).tobytes()
+        body = word.rstrip(self.SIGNS)
+        if len(body) < len(word) and body[-1:].isalnum():
+            return self[body] + self[word[len(body) :]]
+        return array("I", self.library.encode(word, add_special_tokens=False).ids).tobytes()
 
     def __missing__(self, word: str) -> bytes:
         if (out := self.older.get(word)) is None:
-            out = np.array(self.library.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+            out = self.made(word)
         if len(word) <= 64:
             if len(self) >= self.size:
                 self.older = dict(self)
