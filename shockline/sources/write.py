@@ -7,12 +7,13 @@ import time
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.signal import same_schema, to_insert
+from ..operators.signal import same_schema
 from ..operators.validate import document_reason
+from .committed import CommittedTable, Merge
 
 #: Sinks whose tables may gain columns.
 ADDITIVE = frozenset({"silver_unresolved_markets", "silver_flood", "gold_associations"})
@@ -54,21 +55,16 @@ def _table(spark, path: str, format: str) -> DataFrame | None:
         raise
 
 
-def merge_signals(batch: DataFrame, path: str, batch_id: int | None = None, format: str = "parquet") -> None:
-    """Insert-only merge by signal_id; call from foreachBatch with one writer.
+def merge_signals(batch: DataFrame, path: str, batch_id: int | None = None, writer: str = "signals") -> Merge:
+    """Insert-only merge by signal_id into a table with commits; call from foreachBatch, with any number of writers.
 
-    With a batch id the rows go to a directory of that batch, overwritten when the batch is retried; a
-    retry compares only with the other batches, so a batch that was written in part is whole afterwards.
+    A batch that was written in part has no commit and is no part of the table; a batch that has one is left out when it is repeated.
     """
-    spark = batch.sparkSession
-    target = _table(spark, path, format)
-    if batch_id is None:
-        to_insert(batch, target).write.format(format).mode("append").save(path)
-        return
-    if target is not None and "batch_id" in target.columns:
-        target = target.where(F.col("batch_id") != batch_id)
-    fresh = to_insert(batch, target)
-    fresh.write.format(format).mode("overwrite").save(f"{path}/batch_id={batch_id}")
+    return CommittedTable(batch.sparkSession, path).merge(batch, writer, batch_id)
+
+
+def signals_at(spark: SparkSession, path: str) -> DataFrame | None:
+    return CommittedTable(spark, path).read()
 
 
 def overwrite_dimension(rows: DataFrame, path: str, format: str = "parquet") -> None:

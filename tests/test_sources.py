@@ -147,20 +147,6 @@ def gold_frame(spark, ids, level="LOW"):
     return signal.gold(signal.scored(rows, ConfidencePolicy(), SignalPolicy()), "synthetic_demo", F.lit(t))
 
 
-def test_gold_merge_is_idempotent_and_heals_a_partial_batch(spark, tmp_path):
-    path = str(tmp_path / "gold")
-    write.merge_signals(gold_frame(spark, ["a", "b"]), path, 0)
-    write.merge_signals(gold_frame(spark, ["a", "b"]), path, 0)
-    write.merge_signals(gold_frame(spark, ["b", "c"]), path, 1)
-    assert spark.read.parquet(path).count() == 3
-    write.merge_signals(gold_frame(spark, ["b", "c", "e"]), path, 1)
-    assert sorted(r.shock_id for r in spark.read.parquet(path).collect()) == ["a", "b", "c", "e"]
-    plain = str(tmp_path / "plain")
-    write.merge_signals(gold_frame(spark, ["a"]), plain)
-    write.merge_signals(gold_frame(spark, ["a", "z"]), plain)
-    assert spark.read.parquet(plain).count() == 2
-
-
 def test_documents(spark, tmp_path):
     g = gold_frame(spark, ["a", "a", "b"])
     write.index_documents(g, path=str(tmp_path / "docs"))
