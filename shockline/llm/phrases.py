@@ -178,7 +178,8 @@ def collocations(docs: DataFrame, words: int = WORDS, least: int = LEAST, kept:
     best = cuts.select("lang", "phrase", "a", F.struct(score.alias("score"), "cut", "l", "r").alias("c")).groupBy("lang", "phrase", "a").agg(F.min("c").alias("c"))
 
     # Scores are at most scale / 2, so a histogram of a language has few bins; what is below the bin of the last kept phrase isn't sorted.
-    scored = written(best, "scored_phrases").withColumn("bin", F.expr(f"cast(c.score div {max(1, int(scale) // 2000)} as int)"))
+    best = written(best, "scored_phrases")
+    scored = best.withColumn("bin", F.expr(f"cast(c.score div {max(1, int(scale) // 2000)} as int)"))
     down = F.sum("n").over(Window.partitionBy("lang").orderBy(F.desc("bin")).rowsBetween(Window.unboundedPreceding, -1))
     bins = scored.groupBy("lang", "bin").agg(F.count("*").alias("n")).withColumn("above", F.coalesce(down, F.lit(0))).where(F.col("above") < kept).select("lang", "bin")
     order = [F.desc("c.score"), F.desc("a"), F.asc("phrase")]
@@ -186,7 +187,7 @@ def collocations(docs: DataFrame, words: int = WORDS, least: int = LEAST, kept:
     top = top.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("rank") <= kept)
     out = top.join(n, "lang").select("lang", "rank", "phrase", "a", F.col("c.l").alias("l"), F.col("c.r").alias("r"), "n", F.col("c.score").alias("score"))
     out = written(out.withColumn("rank", F.col("rank").cast("long")), "collocations")
-    dropped(scored, *levels)
+    dropped(best, *levels)
     return out
 
 
