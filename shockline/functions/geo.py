@@ -52,19 +52,6 @@ def _crossing(e: Column, f: Column) -> Column:
     return (_side(a, b, c) * _side(a, b, d) < 0) & (_side(c, d, a) * _side(c, d, b) < 0)
 
 
-def bounds(geometry: Column) -> Column:
-    """struct(x0, y0, x1, y1)."""
-    points = F.flatten(F.flatten(geometry))
-    x, y = F.transform(points, lambda p: p[0]), F.transform(points, lambda p: p[1])
-    return F.struct(F.array_min(x).alias("x0"), F.array_min(y).alias("y0"), F.array_max(x).alias("x1"), F.array_max(y).alias("y1"))
-
-
-def cells(box: Column, size: float) -> Column:
-    """Grid cells that a box touches."""
-    span = lambda a, b: F.sequence(F.floor(box[a] / size).cast("int"), F.floor(box[b] / size).cast("int"))
-    return F.flatten(F.transform(span("x0", "x1"), lambda i: F.transform(span("y0", "y1"), lambda j: F.struct(i.alias("i"), j.alias("j")))))
-
-
 def edges(ring: Column) -> Column:
     """Pairs of neighbouring points, closed."""
     n = F.size(ring)

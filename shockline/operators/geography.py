@@ -8,14 +8,19 @@ from pyspark.sql import functions as F
 from ..functions import geo
 from ..functions.identity import commodity_id, place_key
 from ..functions.scoring import rainfall_severity
+from . import cells
 
-#: Degrees of a grid cell, and rows up to which a reference is broadcast.
-CELL, SMALL = 0.5, 100_000
+#: Rows and bytes up to which a reference is broadcast.
+SMALL, SMALL_BYTES = 100_000, 32 << 20
 
 
-def small(df: DataFrame, most: int = SMALL) -> DataFrame:
-    """Marked for broadcast only if counting at most `most`+1 rows shows that it is small; else the join shuffles."""
-    return df if df.isStreaming or df.limit(most + 1).count() > most else F.broadcast(df)
+def small(df: DataFrame, most: int = SMALL, most_bytes: int = SMALL_BYTES, cost: str | None = None) -> DataFrame:
+    """Marked for broadcast only if at most `most` rows, of `most_bytes` in all, show that it is small; else the join shuffles. cost: a column of bytes."""
+    if df.isStreaming:
+        return df
+    size = F.col(cost) if cost else F.length(F.to_json(F.struct("*")))
+    n, held = df.select(size.alias("size")).limit(most + 1).agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
+    return F.broadcast(df) if n <= most and held <= most_bytes else df
 
 
 def _keyed(rows: DataFrame, **names: str) -> DataFrame:
@@ -88,22 +93,14 @@ def reported_flood_shocks(floods: DataFrame, boundaries: DataFrame) -> DataFrame
     return _shock(rows, "flood", F.coalesce(F.try_to_timestamp("event_start"), "event_time"), "source_reported_district", F.lit(None), "source_event_id")
 
 
-def _gridded(rows: DataFrame, geometry: str, size: float) -> DataFrame:
-    return rows.withColumn("_box", geo.bounds(F.col(geometry))).withColumn("_cell", F.explode(geo.cells(F.col("_box"), size)))
-
-
-def spatial_pairs(left: DataFrame, right: DataFrame, left_id: str, right_id: str, size: float = CELL) -> DataFrame:
+def spatial_pairs(left: DataFrame, right: DataFrame, left_id: str, right_id: str, size: float = cells.CELL) -> DataFrame:
     """(left_id, right_id) of geometries that share a point. Both have geometry (as parse_geojson gives it).
 
-    An equi-join on grid cells, then boxes, then the exact test; a pair that shares several cells is
-    tested only in the cell of the lower corner of the boxes' overlap.
+    An equi-join of the two cell indexes; a pair is compared by the edges of the cells that both touch.
     """
-    a = _gridded(left.select(left_id, F.col("geometry").alias("_a")), "_a", size).withColumnRenamed("_box", "_ba")
-    b = _gridded(right.select(right_id, F.col("geometry").alias("_b")), "_b", size).withColumnRenamed("_box", "_bb")
-    p, q = F.col("_ba"), F.col("_bb")
-    overlap = (p["x0"] <= q["x1"]) & (q["x0"] <= p["x1"]) & (p["y0"] <= q["y1"]) & (q["y0"] <= p["y1"])
-    first = (F.col("_cell.i") == F.floor(F.greatest(p["x0"], q["x0"]) / size)) & (F.col("_cell.j") == F.floor(F.greatest(p["y0"], q["y0"]) / size))
-    return a.join(small(b), "_cell").where(overlap & first).where(geo.intersects(F.col("_a"), F.col("_b"))).select(left_id, right_id)
+    a = cells.indexed(left.select(left_id, "geometry"), size=size, prefix="a_")
+    b = cells.indexed(right.select(right_id, "geometry"), size=size, prefix="b_")
+    return cells.matched(a, small(b, cost="b_cost"), size).select(left_id, right_id).distinct()
 
 
 def _with_geometry(floods: DataFrame) -> DataFrame:
@@ -114,15 +111,13 @@ def _areas(boundaries: DataFrame) -> DataFrame:
     return boundaries.select("district_id", geo.parse_geojson("geometry_json").alias("geometry")).where("geometry is not null")
 
 
-def geometry_flood_shocks(floods: DataFrame, boundaries: DataFrame, size: float = CELL) -> DataFrame:
+def geometry_flood_shocks(floods: DataFrame, boundaries: DataFrame, size: float = cells.CELL) -> DataFrame:
     """A shock for each district that a flood's geometry meets. The flood's own columns ride along, so streams need no self-join."""
-    rows = _with_geometry(floods).where("geometry is not null")
-    b = _gridded(_areas(boundaries), "geometry", size).select("district_id", F.col("geometry").alias("_b"), F.col("_box").alias("_bb"), "_cell")
-    a = _gridded(rows, "geometry", size)
-    p, q = F.col("_box"), F.col("_bb")
-    overlap = (p["x0"] <= q["x1"]) & (q["x0"] <= p["x1"]) & (p["y0"] <= q["y1"]) & (q["y0"] <= p["y1"])
-    first = (F.col("_cell.i") == F.floor(F.greatest(p["x0"], q["x0"]) / size)) & (F.col("_cell.j") == F.floor(F.greatest(p["y0"], q["y0"]) / size))
-    met = a.join(small(b), "_cell").where(overlap & first).where(geo.intersects(F.col("geometry"), F.col("_b")))
+    rows = _with_geometry(floods).where("geometry is not null").select("event_id", "event_time", "source_event_id", "geometry")
+    b = cells.indexed(_areas(boundaries), size=size, prefix="b_")
+    met = cells.matched(cells.indexed(rows, size=size, prefix="a_"), small(b, cost="b_cost"), size)
+    pair = ["event_id", "district_id"]
+    met = met.dropDuplicatesWithinWatermark(pair) if met.isStreaming else met.dropDuplicates(pair)
     return _shock(met, "flood", F.col("event_time"), "spatial_geometry_intersects", F.lit(None), "source_event_id")
 
 
@@ -141,13 +136,18 @@ def unresolved_floods(floods: DataFrame, boundaries: DataFrame) -> DataFrame:
     return out
 
 
-def locate_points(points: DataFrame, areas: DataFrame, key: str = "point_id", size: float = CELL) -> DataFrame:
+def locate_points(points: DataFrame, areas: DataFrame, key: str = "point_id", size: float = cells.CELL) -> DataFrame:
     """Points (key, lon, lat) in areas (district_id, state_id, boundary_version, geometry): resolved, unresolved or
-    ambiguous. Half open: of two areas with a common edge one has its points."""
-    b = _gridded(areas, "geometry", size).select("district_id", "state_id", "boundary_version", "_cell", F.col("geometry").alias("_g"))
-    cell = F.struct(F.floor(F.col("lon") / size).cast("int").alias("i"), F.floor(F.col("lat") / size).cast("int").alias("j"))
-    inside = F.exists("_g", lambda p: geo.in_rings(F.col("lon"), F.col("lat"), p))
-    hits = points.select(key, "lon", "lat", cell.alias("_cell")).join(small(b), "_cell").where(inside)
+    ambiguous. Half open: of two areas with a common edge one has its points. A point goes to its cell of each level that areas
+    have, seven at most, and is tested against the edges there."""
+    b = cells.indexed(areas.select("district_id", "state_id", "boundary_version", "geometry"), size=size).where("own")
+    levels = sorted(r["level"] for r in b.select("level").distinct().collect())
+    known = F.col("lon").isNotNull() & F.col("lat").isNotNull() & ~F.isnan("lon") & ~F.isnan("lat")
+    at = points.where(known).select(key, "lon", "lat", F.explode(F.array(*map(F.lit, levels)).cast("array<int>")).alias("level"))
+    number = lambda c: F.when(F.col("level") == cells.TOP, F.lit(0)).otherwise(F.floor(F.col(c) / (F.lit(size) * F.pow(F.lit(4.0), "level")))).cast("long")
+    right, bottom = cells.corner("level", "i", "j", size)
+    inside = F.exists("polygons", lambda p: cells.holds(p, F.col("lon"), F.col("lat"), right, bottom))
+    hits = at.withColumn("i", number("lon")).withColumn("j", number("lat")).join(small(b, cost="cost"), ["level", "i", "j"]).where(inside)
     # an area that holds a point twice over (as two rows) is two candidates
     found = hits.groupBy(key).agg(F.count("*").alias("_n"), *(F.min(c).alias(c) for c in ("district_id", "state_id", "boundary_version")))
     out, n = points.join(found, key, "left"), F.col("_n")
