@@ -93,12 +93,26 @@ def first_in_window(rows: DataFrame, by: list[str], time: str, ident: str, start
     return rows.where(F.col(time).between(start, end)).withColumn("_r", F.row_number().over(w)).where("_r = 1").drop("_r")
 
 
-def fill_context(lines: DataFrame, file: str, line: str, market: str, commodity: str) -> DataFrame:
-    """Carries market and commodity down a file; a new market clears the commodity. Null is what has to be filled."""
-    down = Window.partitionBy(file).orderBy(line).rowsBetween(Window.unboundedPreceding, 0)
+def fill_context(lines: DataFrame, file: str, line: str, market: str, commodity: str, split: str | None = None) -> DataFrame:
+    """Carries market and commodity down a file; a new market clears the commodity. Null is what has to be filled.
+
+    split: a column that orders parts of a file, each of which holds lines before all of the next one. Then a part is filled by
+    itself, what stands at its end is one row, these rows are filled in the same way, and each part takes what
+    comes down from those before it. So a file of any size is dealt out over tasks; without it a file is one task.
+    """
+    part = [file] if split is None else [file, split]
+    down = Window.partitionBy(*part).orderBy(line).rowsBetween(Window.unboundedPreceding, 0)
     rows = lines.withColumn("_segment", F.count(market).over(down)).withColumn(market, F.last(market, ignorenulls=True).over(down))
-    inside = Window.partitionBy(file, "_segment").orderBy(line).rowsBetween(Window.unboundedPreceding, 0)
-    return rows.withColumn(commodity, F.last(commodity, ignorenulls=True).over(inside)).drop("_segment")
+    inside = Window.partitionBy(*part, "_segment").orderBy(line).rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumn(commodity, F.last(commodity, ignorenulls=True).over(inside))
+    if split is None:
+        return rows.drop("_segment")
+    ends = rows.groupBy(*part).agg(F.max_by(F.struct(F.col(market).alias("_m"), F.col(commodity).alias("_c")), line).alias("_e")).select(*part, "_e._m", "_e._c")
+    before = Window.partitionBy(file).orderBy(split)
+    carried = fill_context(ends, file, split, "_m", "_c").select(*part, F.lag("_m").over(before).alias("_m"), F.lag("_c").over(before).alias("_c"))
+    first = F.col("_segment") == 0  # before the part's own first market
+    out = rows.join(carried, part).withColumn(market, F.when(first, F.col("_m")).otherwise(F.col(market)))
+    return out.withColumn(commodity, F.when(first, F.coalesce(commodity, "_c")).otherwise(F.col(commodity))).select(*lines.columns)
 
 
 def table_counts(spark: SparkSession, tables: dict[str, DataFrame | None]) -> DataFrame:

@@ -565,6 +565,22 @@ def forward_fill_context(spark, d):
     return quality.fill_context(rows, "conv_id", "line", "market", "commodity").drop("line")
 
 
+_LINES = """r AS (SELECT l_orderkey, l_linenumber, l_partkey, CASE WHEN l_partkey % 97 < 2 THEN 'm' || l_suppkey END AS market, CASE WHEN l_quantity > 40 THEN 'c' || l_partkey END AS commodity,
+  row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice) AS line FROM lineitem)"""
+
+
+@query(f"""WITH {_LINES}, m AS (SELECT *, count(market) OVER (ORDER BY line ROWS UNBOUNDED PRECEDING) AS seg FROM r)
+  SELECT l_orderkey, l_linenumber, l_partkey, last_value(market IGNORE NULLS) OVER (ORDER BY line ROWS UNBOUNDED PRECEDING) AS market,
+    last_value(commodity IGNORE NULLS) OVER (PARTITION BY seg ORDER BY line ROWS UNBOUNDED PRECEDING) AS commodity FROM m""")
+def forward_fill_one_file(spark, d):
+    """All line items as one file whose splits are ranges of orders."""
+    rows = table(spark, d, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", F.lit("all").alias("file"), F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice").alias("line"), F.expr("l_orderkey div 4096").alias("part"),
+        F.when(F.col("l_partkey") % 97 < 2, F.concat(F.lit("m"), "l_suppkey")).alias("market"), F.when(F.col("l_quantity") > 40, F.concat(F.lit("c"), "l_partkey")).alias("commodity"),
+    )
+    return quality.fill_context(rows, "file", "line", "market", "commodity", "part").drop("file", "line", "part")
+
+
 @query("SELECT l_suppkey, sha256(string_agg(k, '|' ORDER BY k)) AS lineage FROM (SELECT l_suppkey, CAST(l_orderkey AS VARCHAR) || '-' || l_linenumber AS k FROM lineitem) GROUP BY 1")
 def baseline_lineage_hash(spark, d):
     rows = table(spark, d, "lineitem").select("l_suppkey", F.concat_ws("-", "l_orderkey", "l_linenumber").alias("k"))

@@ -174,8 +174,27 @@ def report_titles(files: DataFrame, title: str = TITLE) -> DataFrame:
 def report_rows(titled: DataFrame) -> DataFrame:
     """Data rows of the reports from the fourth line on, with market and commodity carried down and parse_error."""
     lines = titled.where("title_reason is null").select("path", "sha256", "report_date", "report_state", F.posexplode(F.split("content", "\r?\n")).alias("line_no", "line"))
+    return _data_rows(lines.where("line_no >= 3"), "line_no")
+
+
+def large_report_rows(spark: SparkSession, path: str, title: str = TITLE) -> DataFrame:
+    """As report_rows() for reports of any size: a file is read in Spark's splits, each by a task of its own, and never held whole.
+
+    A line's number is its split's start and its place there: (split_start, line_no). sha256 is null.
+    """
+    text = spark.read.text(path).select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("split_start"), F.col("value").alias("line"))
+    text = text.withColumn("line_no", F.monotonically_increasing_id())
+    firsts = text.groupBy("path").agg(F.min_by("line", F.struct("split_start", "line_no")).alias("content"), F.min(F.when(F.col("split_start") == 0, F.col("line_no"))).alias("_first"), F.count("*").alias("_n"))
+    # the title needs the first line only; the count of lines stands in for them
+    heads = report_titles(firsts.withColumn("content", F.concat("content", F.repeat(F.lit("\n"), F.least(F.col("_n"), F.lit(3)).cast("int") - 1))), title)
+    heads = heads.where("title_reason is null").select("path", F.lit(None).cast("string").alias("sha256"), "report_date", "report_state", "_first")
+    lines = text.join(heads, "path").where((F.col("split_start") > 0) | (F.col("line_no") - F.col("_first") >= 3)).drop("_first")
+    return _data_rows(lines, "line_no", "split_start")
+
+
+def _data_rows(lines: DataFrame, order: str, split: str | None = None) -> DataFrame:
     cells = F.from_csv("line", ", ".join(f"c{i} string" for i in range(10)))
-    rows = lines.where("line_no >= 3 and trim(replace(line, ',', '')) <> ''").withColumn("c", cells)
+    rows = lines.where("trim(replace(line, ',', '')) <> ''").withColumn("c", cells)
     count = F.size(F.split(F.regexp_replace("line", '"[^"]*"', "x"), ",", -1))
     head = F.trim("c.c0")
     is_market, is_group = F.lower(head).rlike(r"^market name\s*:"), F.lower(head).rlike(r"^commodity group name\s*:")
@@ -183,9 +202,10 @@ def report_rows(titled: DataFrame) -> DataFrame:
     rows = rows.withColumn("Market", F.when(is_market, F.trim(F.substring_index(F.expr("substring(trim(c.c0), instr(c.c0, ':') + 1)"), ",", 1))))
     good = (F.col("_kind") == "data") & (F.col("_count") == len(REPORT))
     rows = rows.withColumn("Commodity", F.when(good & (F.length(head) > 0), head))
-    rows = fill_context(rows, "path", "line_no", "Market", "Commodity").where("_kind = 'data'")
+    rows = fill_context(rows, "path", order, "Market", "Commodity", split).where("_kind = 'data'")
     cols = [F.trim(f"c.c{i}").alias(n) for i, n in enumerate(REPORT) if i]
-    return rows.select("path", "sha256", "line_no", "report_date", "report_state", "Market", "Commodity", *cols, F.when(F.col("_count") != len(REPORT), "unexpected_column_count").alias("parse_error"))
+    place = [order] if split is None else [split, order]
+    return rows.select("path", "sha256", *place, "report_date", "report_state", "Market", "Commodity", *cols, F.when(F.col("_count") != len(REPORT), "unexpected_column_count").alias("parse_error"))
 
 
 def stage_reports(titled: DataFrame, state: str, first: Column, last: Column) -> DataFrame:

@@ -189,3 +189,53 @@ def test_series_choice_ignores_prices(spark):
     assert why == {"Other": None, "ADT": None, "Best": "not_observed_in_event_window", "Bundle": "incompatible_price_unit", "Few": "insufficient_historical_baseline"}
     keyed = quality.require_series_key(spark.createDataFrame([("s", "d", "m", "c", None, "u"), ("s", "x", "m", "c", "v", "u"), ("s", "d", "m", "c", "v", "u")], "state string, district string, market string, commodity string, variety string, price_unit string"), "s", "d")
     assert [r.key_reason for r in keyed.collect()] == ["missing_variety", "outside_case", None]
+
+
+def test_a_report_of_many_splits_equals_one_task(spark, tmp_path):
+    import random
+
+    r = random.Random(4)
+    lines = ["Daily report on 03-Dec-2023 State/UT : Tamil Nadu", "head", "Commodity,Arrivals,Unit"]
+    for k in range(400):
+        what = r.random()
+        if what < 0.08:
+            lines.append(f'"Market Name : M{k}, x"' + "," * 7)
+        elif what < 0.1:
+            lines.append("Commodity Group Name : Cereals" + "," * 7)
+        elif what < 0.13:
+            lines.append("," * 7)
+        elif what < 0.15:
+            lines.append("short,row")
+        else:
+            lines.append(f"{r.choice(['', '', '', f'C{k}'])},{k}.5,Tonnes,V,1,3,2,Rs")
+    folder = tmp_path / "reports"
+    folder.mkdir()
+    put(folder, "a.csv", "\n".join(lines))
+    put(folder, "b.csv", "\n".join([lines[0].replace("03-Dec", "04-Dec"), *lines[1:150]]))
+    put(folder, "untitled.csv", "\n".join(lines[1:]))
+    put(folder, "short.csv", lines[0])
+    fields = ["report_date", "report_state", "Market", "Commodity", *read.REPORT[1:], "parse_error"]
+    whole = read.report_rows(read.report_titles(read.report_files(spark, str(folder))))
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "700b")
+        spark.conf.set("spark.sql.files.openCostInBytes", "1b")
+        split = read.large_report_rows(spark, str(folder))
+        got, splits = split.select(*fields).collect(), split.select("path", "split_start").distinct().count()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    want = whole.select(*fields).collect()
+    key = lambda row: str(tuple(row))
+    assert splits > 15 and len(want) > 400 and sorted(got, key=key) == sorted(want, key=key)
+    assert len({x.Market for x in want}) > 20
+
+
+def test_fill_over_parts_of_a_file(spark):
+    import itertools
+
+    choices = [(None, None), ("m", None), (None, "c"), ("n", "d")]
+    rows = [(f, 10 * f + k, k // 2, *x) for f, row in enumerate(itertools.product(choices, repeat=4)) for k, x in enumerate(row)]
+    lines = spark.createDataFrame(rows, "file int, line int, part int, market string, commodity string")
+    plain = quality.fill_context(lines, "file", "line", "market", "commodity").collect()
+    assert sorted(map(str, quality.fill_context(lines, "file", "line", "market", "commodity", "part").collect())) == sorted(map(str, plain))
