@@ -181,13 +181,14 @@ def collocations(docs: DataFrame, words: int = WORDS, least: int = LEAST, kept:
     best = written(best, "scored_phrases")
     scored = best.withColumn("bin", F.expr(f"cast(c.score div {max(1, int(scale) // 2000)} as int)"))
     down = F.sum("n").over(Window.partitionBy("lang").orderBy(F.desc("bin")).rowsBetween(Window.unboundedPreceding, -1))
-    bins = scored.groupBy("lang", "bin").agg(F.count("*").alias("n")).withColumn("above", F.coalesce(down, F.lit(0))).where(F.col("above") < kept).select("lang", "bin")
+    bins = scored.groupBy("lang", "bin").agg(F.count("*").alias("n")).withColumn("above", F.coalesce(down, F.lit(0))).where(F.col("above") < kept)
+    last = written(bins.groupBy("lang").agg(F.min("bin").alias("last")), "last_bins")  # a row a language: its size is known before the join
     order = [F.desc("c.score"), F.desc("a"), F.asc("phrase")]
-    top = scored.join(bins.groupBy("lang").agg(F.min("bin").alias("last")), "lang").where("bin >= last")
+    top = scored.join(last, "lang").where("bin >= last")
     top = top.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("rank") <= kept)
     out = top.join(n, "lang").select("lang", "rank", "phrase", "a", F.col("c.l").alias("l"), F.col("c.r").alias("r"), "n", F.col("c.score").alias("score"))
     out = written(out.withColumn("rank", F.col("rank").cast("long")), "collocations")
-    dropped(best, *levels)
+    dropped(best, last, *levels)
     return out
 
 
