@@ -60,7 +60,7 @@ _ASSOCIATED = f"""{PRICES_SQL}, {SHOCKS_SQL}, assoc AS (
 
 @query(f"WITH {_ASSOCIATED} SELECT shock_id, price_event_id, district_id, market_id, commodity_id, modal_price, days_after_shock FROM assoc")
 def shock_price_associations(spark, d):
-    out = associate.associate_bucketed(shocks(spark, d), prices(spark, d), AHEAD)
+    out = associate.associate(shocks(spark, d), prices(spark, d), AHEAD)
     return out.select("shock_id", "price_event_id", "district_id", "market_id", "commodity_id", "modal_price", "days_after_shock")
 
 
@@ -133,7 +133,7 @@ def daily_price_windows(spark, d):
 def signals(spark, d) -> DataFrame:
     """Associations with seasonal baselines, scored: the end-to-end slice."""
     p = prices(spark, d)
-    found = associate.associate_bucketed(shocks(spark, d), p, AHEAD).withColumn("target_day", F.to_date("price_event_time"))
+    found = associate.associate(shocks(spark, d), p, AHEAD).withColumn("target_day", F.to_date("price_event_time"))
     # baselines once for each district, commodity and day that some association asks for
     asked = found.select("district_id", "commodity_id", F.col("price_event_time").alias("event_time"))
     base = baseline.seasonal_baseline(asked, p, ["district_id", "commodity_id"], "event_time", "modal_price", 5).drop("season")

@@ -14,18 +14,22 @@ from pyspark.sql.streaming import StreamingQuery
 from ..operators.signal import same_schema
 from ..operators.validate import document_reason
 from .committed import CommittedTable, Merge
+from .evolution import register
 
 #: Sinks whose tables may gain columns.
 ADDITIVE = frozenset({"silver_unresolved_markets", "silver_flood", "gold_associations"})
 
 
 def append_stream(df: DataFrame, path: str, checkpoint: str, name: str, partition_by: list[str] | None = None, additive: bool = False, format: str = "parquet", once: bool = False) -> StreamingQuery:
-    """A named append query with a checkpoint of its own. once: all that is there, then stop."""
+    """A named append query with a checkpoint of its own. once: all that is there, then stop.
+
+    The columns are checked before the start: with additive, for names on the list, the table may gain columns and wider types;
+    others are fixed by their first start. read_governed() reads the rows of all versions.
+    """
     if additive and name not in ADDITIVE:
         raise ValueError(f"{name} may not gain columns")
+    register(df.sparkSession, path, df.schema, additive)
     w = df.writeStream.format(format).outputMode("append").option("checkpointLocation", checkpoint).queryName(name)
-    if additive:
-        w = w.option("mergeSchema", "true")
     if partition_by:
         w = w.partitionBy(*partition_by)
     if once:

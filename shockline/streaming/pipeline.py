@@ -1,12 +1,13 @@
 """The streaming application: bronze, silver, dead letters, geography and associations, from the batch transforms.
 
-Rows that are in the state of a deduplication leave it with the watermark (exact=True keeps ids for good).
+Rows that are in the state of a deduplication leave it with the watermark, or with a horizon behind it (exact=True keeps ids for good).
 Dead letters go to one query with two sinks, so the source isn't read again for each.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +17,7 @@ from ..config import EventTimePolicy, LookAhead
 from ..operators import associate, geography, validate
 from ..schemas import FLOOD, MANDI, WEATHER
 from ..sources import read, write
+from .repeats import first_within
 
 #: Topic names and the fields that each needs.
 TOPICS = {"mandi": "mandi-prices", "weather": "weather-events", "flood": "flood-events"}
@@ -23,11 +25,17 @@ WEATHER_REQUIRED, FLOOD_REQUIRED = ["district", "rainfall_category"], ["source_e
 STATE_STORE = {"spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"}
 
 
-def deduplicated(events: DataFrame, policy: EventTimePolicy, exact: bool = False) -> DataFrame:
-    """Watermark and one row for each event_id. A batch has no watermark: there it is one row for each id."""
+def deduplicated(events: DataFrame, policy: EventTimePolicy, exact: bool = False, horizon: timedelta | None = None) -> DataFrame:
+    """Watermark and one row for each event_id. A batch has no watermark: there it is one row for each id.
+
+    On a stream repetitions are known for the watermark's delay; with a horizon for that long after the first, by state with
+    timers; with exact for good, and the state never leaves.
+    """
     if not events.isStreaming:
         return events.dropDuplicates(["event_id"])
     marked = events.withWatermark("event_time", policy.duration)
+    if horizon is not None:
+        return first_within(marked, "event_id", "event_time", horizon)
     return marked.dropDuplicates(["event_id"]) if exact else marked.dropDuplicatesWithinWatermark(["event_id"])
 
 
@@ -44,12 +52,12 @@ class Flow:
     associations: DataFrame
 
 
-def build(records: dict[str, DataFrame], markets: DataFrame, boundaries: DataFrame, policy: EventTimePolicy, ahead: LookAhead, exact: bool = False) -> Flow:
+def build(records: dict[str, DataFrame], markets: DataFrame, boundaries: DataFrame, policy: EventTimePolicy, ahead: LookAhead, exact: bool = False, horizon: timedelta | None = None) -> Flow:
     """records: mandi, weather and flood broker rows. Weather comes first in the union of shocks."""
     mandi, bad_mandi = validate.parse_mandi(records["mandi"], MANDI)
     weather, bad_weather = validate.parse_required(records["weather"], WEATHER, WEATHER_REQUIRED)
     flood, bad_flood = validate.parse_required(records["flood"], FLOOD, FLOOD_REQUIRED)
-    silver = {n: deduplicated(validate.silver(v), policy, exact) for n, v in (("mandi", mandi), ("weather", weather), ("flood", flood))}
+    silver = {n: deduplicated(validate.silver(v), policy, exact, horizon) for n, v in (("mandi", mandi), ("weather", weather), ("flood", flood))}
     dead = validate.dead_letters(bad_mandi).unionByName(validate.dead_letters(bad_weather)).unionByName(validate.dead_letters(bad_flood))
     placed = geography.resolve_markets(silver["mandi"], markets)
     prices = placed.where("mapping_status = 'resolved'")
@@ -64,11 +72,11 @@ def build(records: dict[str, DataFrame], markets: DataFrame, boundaries: DataFra
     return Flow(validate.bronze(all_records), silver, dead, prices, shocks, unresolved, associate.associate(shocks, prices, ahead))
 
 
-def start(spark: SparkSession, source: str, lake: str, checkpoints: str, policy: EventTimePolicy, ahead: LookAhead, format: str = "json", once: bool = False) -> list[StreamingQuery]:
+def start(spark: SparkSession, source: str, lake: str, checkpoints: str, policy: EventTimePolicy, ahead: LookAhead, format: str = "json", once: bool = False, horizon: timedelta | None = None) -> list[StreamingQuery]:
     """All queries. Unresolved floods need an anti-join with themselves, so each batch of silver floods settles its own."""
     records = {n: read.broker_stream(spark, source, t, format) for n, t in TOPICS.items()}
     markets, boundaries = (read.dimension(spark, f"{lake}/reference/{d}", d) for d in ("markets", "boundaries"))
-    flow = build(records, markets, boundaries, policy, ahead)
+    flow = build(records, markets, boundaries, policy, ahead, horizon=horizon)
     out = lambda df, path, by, additive=False: write.append_stream(df, f"{lake}/{path}", f"{checkpoints}/{path}", path.replace("/", "_"), by, additive, once=once)
 
     def floods(batch: DataFrame, batch_id: int) -> None:
