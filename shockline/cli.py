@@ -89,9 +89,11 @@ def main(args: Sequence[str] | None = None) -> int:
             dims = [read.dimension(spark, f"{c.lake}/reference/{d}", d) for d in ("markets", "boundaries")]
             pipeline.reconcile(spark, c.lake, *dims, policy, ahead).write.mode("append").partitionBy("shock_type").parquet(f"{c.lake}/gold/reconciled_associations")
         else:
-            counts = quality.table_counts(spark, {n: write.signals_at(spark, f"{c.lake}/{t}") if n == "market_shock_signals" else write._table(spark, f"{c.lake}/{t}", "parquet") for n, t in TABLES.items()})
+            opened = lambda n, t: lambda: write.signals_at(spark, f"{c.lake}/{t}") if n == "market_shock_signals" else write._table(spark, f"{c.lake}/{t}", "parquet")
+            counts = quality.table_counts_or_failed(spark, {n: opened(n, t) for n, t in TABLES.items()})
             warnings = [r["warning"] for r in quality.health_warnings(counts, o.max_dead_rate).collect()]
-            print(json.dumps({"counts": {r["table_name"]: r["row_count"] for r in counts.collect()}, "warnings": warnings}))
+            late = {r["query"]: r["late_rows"] for r in pipeline.measured(spark, c.lake).where("late_rows > 0").collect()}
+            print(json.dumps({"counts": {r["table_name"]: r["row_count"] for r in counts.collect()}, "late_rows": late, "warnings": warnings}))
             return int(bool(warnings))
     elif o.command == "audit-reports":
         staged = read.stage_reports(read.report_titles(read.report_files(spark, o.files)), o.state, F.lit(o.first).cast("date"), F.lit(o.last).cast("date"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -121,11 +122,25 @@ def table_counts(spark: SparkSession, tables: dict[str, DataFrame | None]) -> Da
     return reduce(DataFrame.unionByName, parts)
 
 
+def table_counts_or_failed(spark: SparkSession, tables: dict[str, Callable[[], DataFrame | None]]) -> DataFrame:
+    """As table_counts(), of tables that may fail to open or to be read: such a table counts -1, and the others are counted all the same."""
+    made = []
+    for name, opened in tables.items():
+        try:
+            t = opened()
+            n = 0 if t is None else t.count()
+        except Exception:  # noqa: BLE001  a report of what works and what doesn't
+            n = -1
+        made.append((name, n))
+    return spark.createDataFrame(made, "table_name string, row_count long")
+
+
 def health_warnings(counts: DataFrame, most_dead: float = 0.05) -> DataFrame:
-    """(warning) rows: share of dead letters above the limit, and tables of unresolved rows that aren't empty."""
+    """(warning) rows: share of dead letters above the limit, tables of unresolved rows that aren't empty, and tables that can't be read (a count of -1)."""
     n = lambda name: F.sum(F.when(F.col("table_name") == name, F.col("row_count")).otherwise(0))
-    sums = counts.agg(n("dlq_events").alias("dead"), n("raw_events").alias("all"), F.sum(F.when(F.col("table_name").startswith("unresolved"), F.col("row_count")).otherwise(0)).alias("open"))
-    found = F.array_compact(F.array(F.when((F.col("all") > 0) & (F.col("dead") / F.nullif(F.col("all"), F.lit(0)) > most_dead), "dead_letter_rate_above_limit"), F.when(F.col("open") > 0, "unresolved_geography")))
+    counts = counts.withColumn("_failed", F.col("row_count") < 0).withColumn("row_count", F.greatest("row_count", F.lit(0)))
+    sums = counts.agg(F.count_if("_failed").alias("failed"), n("dlq_events").alias("dead"), n("raw_events").alias("all"), F.sum(F.when(F.col("table_name").startswith("unresolved"), F.col("row_count")).otherwise(0)).alias("open"))
+    found = F.array_compact(F.array(F.when((F.col("all") > 0) & (F.col("dead") / F.nullif(F.col("all"), F.lit(0)) > most_dead), "dead_letter_rate_above_limit"), F.when(F.col("open") > 0, "unresolved_geography"), F.when(F.col("failed") > 0, "table_not_readable")))
     return sums.select(F.explode(found).alias("warning"))
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..config import EventTimePolicy, LookAhead
+from ..observability import ProgressTable, counted, read_progress, totals
 from ..operators import associate, geography, validate
 from ..schemas import FLOOD, MANDI, WEATHER
 from ..sources import read, write
@@ -22,6 +23,8 @@ from .repeats import first_within
 #: Topic names and the fields that each needs.
 TOPICS = {"mandi": "mandi-prices", "weather": "weather-events", "flood": "flood-events"}
 WEATHER_REQUIRED, FLOOD_REQUIRED = ["district", "rainfall_category"], ["source_event_id"]
+PROGRESS_TABLE = "_progress"
+_listeners: list[ProgressTable] = []
 STATE_STORE = {"spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"}
 
 
@@ -77,7 +80,13 @@ def start(spark: SparkSession, source: str, lake: str, checkpoints: str, policy:
     records = {n: read.broker_stream(spark, source, t, format) for n, t in TOPICS.items()}
     markets, boundaries = (read.dimension(spark, f"{lake}/reference/{d}", d) for d in ("markets", "boundaries"))
     flow = build(records, markets, boundaries, policy, ahead, horizon=horizon)
-    out = lambda df, path, by, additive=False: write.append_stream(df, f"{lake}/{path}", f"{checkpoints}/{path}", path.replace("/", "_"), by, additive, once=once)
+    if not any(isinstance(x, ProgressTable) and x.path == f"{lake}/{PROGRESS_TABLE}" for x in _listeners):
+        _listeners.append(ProgressTable(spark, f"{lake}/{PROGRESS_TABLE}"))
+        spark.streams.addListener(_listeners[-1])
+
+    def out(df: DataFrame, path: str, by: list[str], additive: bool = False) -> StreamingQuery:
+        name = path.replace("/", "_")
+        return write.append_stream(counted(df, name), f"{lake}/{path}", f"{checkpoints}/{path}", name, by, additive, once=once)
 
     def floods(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
@@ -92,7 +101,7 @@ def start(spark: SparkSession, source: str, lake: str, checkpoints: str, policy:
         batch.unpersist()
 
     def each(df: DataFrame, name: str, action) -> StreamingQuery:
-        w = df.writeStream.foreachBatch(action).option("checkpointLocation", f"{checkpoints}/{name}").queryName(name)
+        w = counted(df, name).writeStream.foreachBatch(action).option("checkpointLocation", f"{checkpoints}/{name}").queryName(name)
         return (w.trigger(availableNow=True) if once else w).start()
 
     return [
@@ -107,6 +116,25 @@ def start(spark: SparkSession, source: str, lake: str, checkpoints: str, policy:
     ]
 
 
+def measured(spark: SparkSession, lake: str) -> DataFrame:
+    """Sums of all micro-batches so far, by query."""
+    for listener in _listeners:
+        listener.flush()
+    return totals(read_progress(spark, f"{lake}/{PROGRESS_TABLE}"))
+
+
+def late_events(spark: SparkSession, lake: str, topic: str = "mandi") -> DataFrame:
+    """Events of bronze that are valid and that silver lacks: those that came behind the watermark. Their number is the measured one.
+
+    A repetition of an event that silver has isn't late; of a late event that is repeated each row counts, as in the measurement.
+    """
+    schema, fields = {"mandi": (MANDI, None), "weather": (WEATHER, WEATHER_REQUIRED)}[topic]
+    rows = _bronze_records(spark, lake).where(F.col("topic") == TOPICS[topic])
+    valid = validate.silver((validate.parse_mandi(rows, schema) if fields is None else validate.parse_required(rows, schema, fields))[0])
+    known = write._table(spark, f"{lake}/silver/{'mandi_prices' if topic == 'mandi' else 'weather_events'}", "parquet")
+    return valid if known is None else valid.join(known.select("event_id").distinct(), "event_id", "left_anti")
+
+
 def supervise(spark: SparkSession) -> None:
     """Until any query ends; if one failed, the others are stopped and its error is raised."""
     try:
@@ -116,10 +144,14 @@ def supervise(spark: SparkSession) -> None:
             q.stop()
 
 
+def _bronze_records(spark: SparkSession, lake: str) -> DataFrame:
+    b = spark.read.parquet(f"{lake}/bronze/raw_events")
+    return b.select("kafka_key", F.col("raw_payload").alias("raw_json"), F.col("kafka_topic").alias("topic"), F.col("kafka_partition").alias("partition"), F.col("kafka_offset").alias("offset"), "kafka_timestamp")
+
+
 def reconcile(spark: SparkSession, lake: str, markets: DataFrame, boundaries: DataFrame, policy: EventTimePolicy, ahead: LookAhead) -> DataFrame:
     """Associations of all of bronze, late events too, less those that the stream has written: the batch job for late data."""
-    b = spark.read.parquet(f"{lake}/bronze/raw_events")
-    rows = b.select("kafka_key", F.col("raw_payload").alias("raw_json"), F.col("kafka_topic").alias("topic"), F.col("kafka_partition").alias("partition"), F.col("kafka_offset").alias("offset"), "kafka_timestamp")
+    rows = _bronze_records(spark, lake)
     flow = build({n: rows.where(F.col("topic") == t) for n, t in TOPICS.items()}, markets, boundaries, policy, ahead)
     known = write._table(spark, f"{lake}/gold/associations", "parquet")
     return flow.associations if known is None else flow.associations.join(known.select("shock_id", "price_event_id"), ["shock_id", "price_event_id"], "left_anti")
