@@ -1,18 +1,23 @@
-"""python -m shockline.cli COMMAND: stream, reconcile, health, replay, audit-reports, import-reports, boundary, case, merge-gold, index."""
+"""python -m shockline.cli COMMAND: preflight, stream, reconcile, health, replay, fetch-pages, audit-reports, import-reports, boundary, case, merge-gold, compact-gold, index."""
 
 from __future__ import annotations
 
 import argparse
 import json
+import os
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .config import ConfidencePolicy, EventTimePolicy, LookAhead, Settings, SignalPolicy
+from .functions.geo import parse_geojson
+from .functions.identity import place_key
 from .operators import case, geography, normalize, quality
 from .schemas import GOLD, MANDI
-from .sources import read, write
+from .sources import pages, read, write
+from .sources.committed import CommittedTable
 from .streaming import pipeline
 
 TABLES = {
@@ -40,6 +45,34 @@ def import_reports(spark: SparkSession, files: str, snapshot: str, scope: str, m
     return made.withColumn("reason", first).drop("_normalizer")
 
 
+def preflight(spark: SparkSession) -> dict[str, str]:
+    """What has to be mended before a stream is started, by the name of the check; empty if nothing has."""
+    try:
+        c = Settings.from_environment()
+    except ValueError as e:
+        return {"settings": str(e)}
+    failed, dims = {}, {}
+    for kind in ("markets", "boundaries"):
+        try:
+            dims[kind] = read.dimension(spark, f"{c.lake}/reference/{kind}", kind)
+            if dims[kind].isEmpty():
+                failed[f"reference_{kind}"] = "no rows"
+        except AnalysisException as e:
+            failed[f"reference_{kind}"] = str(e).splitlines()[0]
+    if c.source_format != "kafka" and write._table(spark, c.source, "text") is None:
+        failed["source"] = f"{c.source} can't be read"
+    for kind, keys in (("markets", ["source_state", "source_district", "source_market"]), ("boundaries", ["source_state", "source_district"])):
+        if kind in dims:
+            n = dims[kind].groupBy(*(place_key(k) for k in keys)).count().where("count > 1").count()
+            if n:
+                failed[f"{kind[:-3] + 'y' if kind == 'boundaries' else 'market'}_names"] = f"{n} names of several rows"
+    if "boundaries" in dims:
+        n = dims["boundaries"].where(parse_geojson("geometry_json").isNull()).count()
+        if n:
+            failed["boundary_shapes"] = f"{n} shapes that can't be read"
+    return failed
+
+
 def main(args: Sequence[str] | None = None) -> int:
     p = argparse.ArgumentParser(prog="shockline", description=__doc__)
     sub = p.add_subparsers(dest="command", required=True)
@@ -73,8 +106,29 @@ def main(args: Sequence[str] | None = None) -> int:
         a = sub.add_parser(name)
         a.add_argument("--documents", required=True)
         a.add_argument("--out", required=True)
+    sub.add_parser("preflight")
+    sub.add_parser("compact-gold")
+    f = sub.add_parser("fetch-pages")
+    for o in ("--url", "--unit", "--out"):
+        f.add_argument(o, required=True)
+    f.add_argument("--limit", type=int, default=100)
     o = p.parse_args(args)
     spark = session(f"shockline-{o.command}")
+    if o.command == "preflight":
+        failed = preflight(spark)
+        print(json.dumps({"failed": failed}))
+        return int(bool(failed))
+    if o.command == "compact-gold":
+        print(json.dumps({"version": CommittedTable(spark, f"{Settings.from_environment().lake}/{TABLES['market_shock_signals']}").compact()}))
+        return 0
+    if o.command == "fetch-pages":
+        rows = normalize.mandi(pages.price_records(pages.pages(spark, o.url, os.environ.get("PAGES_KEY", ""), limit=o.limit)), price_unit=o.unit).persist()
+        write.import_artifacts(rows, o.out, {"url": o.url, "price_unit": o.unit})
+        named = rows.withColumnsRenamed({c: c.lower() for c in pages.FIELDS})
+        report = quality.coverage_report(named.withColumn("day", F.to_date("event_time")), "day", ["state", "district", "market", "commodity"], ["variety", "modal_price"]).first()
+        print(json.dumps(report.asDict(), default=str))
+        rows.unpersist()
+        return 0
     if o.command in ("stream", "reconcile", "health"):
         c = Settings.from_environment()
         policy, ahead = EventTimePolicy(c.watermark_hours), LookAhead(c.lookahead_days)
