@@ -6,13 +6,14 @@ two pages' lines is what the site repeats, and is deleted; all other lines stay.
 element a line goes only if it is in that of every near page, and those are three at least, as articles may
 share a line by what they say. A page that shares more than half of the article is a copy of it: it says
 nothing about the lines inside. Lines of marked menus, headers, footers, sidebars, notices, adverts,
-forms and comments take no part and go in any case; a class or id marks by its whole name, and never an
-element that holds most of the article or of the page.
+forms and comments take no part and go in any case; a class or id marks by its whole name, and, comments
+apart, never an element that holds most of the article, or of a page without one.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterable, Iterator
 from html import unescape
 
@@ -24,7 +25,11 @@ from pyspark.sql import functions as F
 
 from .common import as_input, table, written
 
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|</?([a-zA-Z][^\s/>]*)((?>[^>\"']+|\"[^\"]*\"|'[^']*')*+|[^>]*)>|[^<]+|<", re.S)
+# A tag's quotes hold its end only behind an equals sign, as browsers read it.
+TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|</?([a-zA-Z][^\s/>]*)((?>[^>\"'=]+|=\s*(?:\"[^\"]*\"|'[^']*')|[\"'=])*+)>|[^<]+|<", re.S)
+#: The same with tags that end at the next sign, in quotes or not.
+PLAIN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|</?([a-zA-Z][^\s/>]*)([^>]*)>|[^<]+|<", re.S)
+TAG = re.compile(r"</?[a-zA-Z]")
 ATTRIBUTE = re.compile(r"""([^\s=/]+)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s>]+))?""")
 SPACE = re.compile(r"\s+")
 #: Neighbours in path order that a page may be compared with, on each side.
@@ -32,7 +37,7 @@ NEAR = 3
 #: Near pages that must all have a line of an article for it to go.
 WITNESSES = 3
 # Element names of the HTML standard, and what sites call their furniture.
-RAW = {"script", "style", "noscript", "template", "textarea", "title", "iframe", "svg", "math", "object", "select", "button", "canvas", "audio", "video", "noembed", "noframes", "xmp"}
+RAW = {"script", "style", "noscript", "template", "textarea", "title", "iframe", "svg", "select", "button", "canvas", "audio", "video", "noembed", "noframes", "xmp"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "ins", "kbd", "label", "mark", "q", "ruby", "rb", "rp", "rt", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr", "img", "nobr"}
 FURNITURE = {"nav", "footer", "aside", "menu", "dialog", "head"}
@@ -42,35 +47,43 @@ ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "aler
 MARK = r"(?:ads?|advert\w*|adsense|banner|sponsor\w*|promo\w*|nav\w*|menu\w*|breadcrumbs?|footer|masthead|sidebar|widget\w*|cookies?\w*|consent|gdpr|notices?|newsletter|subscribe|popup|modal|overlay|share|sharing|social|related|recommend\w*|comments?|commentlist|respond|replies|disqus|toolbar|pagination|pager|skip)"
 PLACE = r"(?:bar|box|wrap|wrapper|container|list|area|section|items?|links?|block|unit|slot|holder|panel|icons?|buttons?|btns?|form|top|bottom|left|right|inner|outer|site|page|posts?|articles?|entry|global|main|primary|secondary|tertiary|mobile|desktop|google|email|\d+(?:x\d+)?)"
 MARKS = re.compile(rf"(?:^|\s)(?:{PLACE}[_-]+)*{MARK}(?:[_-]+(?:{MARK}|{PLACE}))*(?:$|\s)", re.I)
-#: Marked beside an article, an element with most of the page's text is kept from so many characters.
-LONG = 500
+# Readers' comments go by these, whatever their length.
+COMMENT = r"(?:comments?|commentlist|commenters?|disqus|replies|respond|feedback)"
+COMMENTS = re.compile(rf"(?:^|\s)(?:(?:{PLACE}|user|reader|readers|visitor|customer|guest)[_-]+)*{COMMENT}(?:[_-]+(?:{MARK}|{PLACE}|thread|feed|count|text|body))*(?:$|\s)", re.I)
 
 
-def furniture(tag: str, attributes: str, inside: bool) -> tuple[bool, bool]:
-    """Whether the element is furniture, and whether only its name says so."""
+def furniture(tag: str, attributes: str, inside: bool) -> tuple[bool, bool, bool]:
+    """Whether the element is furniture, whether only its name says so, and whether that is a name of readers' comments."""
     if tag in FURNITURE or tag == "header" and not inside:
-        return True, False
-    if tag in OWN or tag in ("html", "body"):
-        return False, False
-    named = tag == "form"
-    for name, value in ATTRIBUTE.findall(attributes or ""):
-        name, value = name.lower(), value.strip("\"'")
+        return True, False, False
+    if tag in ("html", "body"):
+        return False, False, False
+    named, found = tag == "form", [(name.lower(), value.strip("\"'")) for name, value in ATTRIBUTE.findall(attributes or "")]
+    comments = any(name in ("class", "id") and COMMENTS.search(value) for name, value in found)
+    if comments or tag in OWN:
+        return False, comments, comments
+    for name, value in found:
         if name == "hidden" or name == "aria-hidden" and value.lower() == "true" or name == "role" and value.lower() in ROLES:
-            return True, False
+            return True, False, False
         named = named or name in ("class", "id") and bool(MARKS.search(value)) or name == "role" and value.lower() == "form"
-    return False, named
+    return False, named, False
 
 
 def blocks(html: str | None) -> list[tuple[str, bool, bool]]:
     """The page's lines in order: text, whether an article or main element holds it, whether furniture does.
 
-    An element that is marked by its name alone is none if it holds most of the articles' text, or of the page's.
+    An element that is marked by its name alone is none if it holds most of the articles' text, or of the page's where
+    there is no article. Readers' comments inside of an article go at any length, and beside one as well. The page is read once, and closing an element takes as many steps as it
+    closes, so pages of any length and nesting take time in proportion.
     """
     out: list[tuple[str, bool, bool, int]] = []
     text: list[str] = []
     top = (False, False, 0)
     stack: list[tuple[str, bool, bool, int]] = []  # element, holds own text, furniture, the marked element around
-    over, before = [0], [False]  # of marked elements: the one around, whether an article is
+    blocks_open: list[int] = []  # places in the stack of what isn't inline
+    open_tags: Counter[str] = Counter()
+    over, always = [0], [False]  # of marked elements: the one around; whether they are comments inside of an article
+    comment = [False]
     own, junk, mark = top
 
     def close() -> None:
@@ -78,8 +91,27 @@ def blocks(html: str | None) -> list[tuple[str, bool, bool]]:
             out.append((line, own, junk, mark))
         text.clear()
 
-    at, html = 0, html or ""
-    while m := TOKEN.match(html, at):
+    def leave(k: int) -> None:
+        """Close the elements from this place in the stack on."""
+        nonlocal own, junk, mark
+        open_tags.subtract(x[0] for x in stack[k:])
+        del stack[k:]
+        while blocks_open and blocks_open[-1] >= k:
+            blocks_open.pop()
+        own, junk, mark = stack[-1][1:] if stack else top
+
+    at, html, token = 0, html or "", TOKEN
+    last = html.rfind(">")
+    while at < len(html):
+        if at > last:  # no tag any more
+            if not html.startswith(("<!", "<?"), at):
+                text.append(html[at:])
+            break
+        m = token.match(html, at)
+        if token is TOKEN and not m[1] and TAG.match(html, at):
+            # quotes that hold all ends up to the end of the page: from here on they aren't heeded, so the page is read once
+            token = PLAIN
+            m = token.match(html, at)
         at = m.end()
         piece, tag = m[0], (m[1] or "").lower()
         if not tag:
@@ -89,11 +121,11 @@ def blocks(html: str | None) -> list[tuple[str, bool, bool]]:
         if piece[1] == "/":
             if tag not in INLINE:
                 close()
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == tag:
-                    del stack[k:]
-                    own, junk, mark = stack[-1][1:] if stack else top
-                    break
+            if open_tags[tag] > 0:
+                k = len(stack) - 1
+                while stack[k][0] != tag:
+                    k -= 1
+                leave(k)
             continue
         if tag in RAW:
             if tag not in INLINE and tag not in ("svg", "math", "button", "select"):
@@ -107,21 +139,19 @@ def blocks(html: str | None) -> list[tuple[str, bool, bool]]:
             close()
         if tag in VOID or tag in INLINE and not m[2]:
             continue
-        if tag == "p" or tag == "li":  # these end an open one of their kind
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == tag:
-                    del stack[k:]
-                    own, junk, mark = stack[-1][1:] if stack else top
-                    break
-                if stack[k][0] not in INLINE:
-                    break
-        sure, named = furniture(tag, m[2], own)
+        if tag in ("p", "li") and blocks_open and stack[blocks_open[-1]][0] == tag:  # these end an open one of their kind
+            leave(blocks_open[-1])
+        sure, named, comments = furniture(tag, m[2], own)
         junk = junk or sure
         if named and not junk:
             over.append(mark)
-            before.append(own)
+            comment.append(comments)
+            always.append(comments and own)
             mark = len(over) - 1
         own = own or tag in OWN
+        if tag not in INLINE:
+            blocks_open.append(len(stack))
+        open_tags[tag] += 1
         stack.append((tag, own, junk, mark))
     close()
     # characters that each marked element holds: of lines in articles, and of all lines
@@ -134,7 +164,7 @@ def blocks(html: str | None) -> list[tuple[str, bool, bool]]:
     (articles, every), gone = held[0].tolist(), [False] * len(over)
     for k in range(1, len(over)):
         a, n = held[k].tolist()
-        most = 2 * a > articles or 2 * n > every and (not articles or n >= LONG and not before[k])
+        most = not always[k] and (2 * a > articles if articles else n == every if comment[k] else 2 * n > every)
         gone[k] = gone[over[k]] or not most
     return [(line, own, junk or gone[mark]) for line, own, junk, mark in out]
 
@@ -163,6 +193,10 @@ def common_lines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     if len(a) == 1:
         return np.concatenate([ends[0], np.array([lo] if (b == a[0]).any() else [], int), ends[1]])
 
+    places = lo + np.flatnonzero(np.isin(a, b))
+    if len(places) < len(a) or not np.isin(b, a).all():  # lines that the other page lacks are in no common subsequence
+        return np.concatenate([ends[0], places[common_lines(a[places - lo], b[np.isin(b, a)])], ends[1]])
+
     def lengths(x: np.ndarray, y: np.ndarray) -> np.ndarray:
         row = np.zeros(len(y) + 1, np.int64)
         for v in x:

@@ -297,3 +297,39 @@ def test_every_operator_is_registered():
     names = registered.queries()
     assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)] == [1] * 10
     assert set(registered.oracle_sql()) <= set(names)
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "<a " * 340_000, "<div>" * 100_000 + "x" + "</p>" * 100_000, '<a =">"' * 150_000, "<b>" * 150_000 + "<li></li>" * 60_000, "<p><div>" + "<b>" * 150_000 + "<p></p>" * 40_000,
+        "<a b='" * 170_000, "<p " + "a=b " * 250_000 + ">x", "<script>" * 120_000, "<" * 1_000_000, "</a>" * 250_000, "<div class='a'><p>" * 50_000 + "</div>" * 50_000,
+    ],
+)
+def test_hostile_pages_of_a_megabyte_take_seconds(text):
+    import time
+
+    began = time.process_time()
+    page.blocks(text)
+    assert time.process_time() - began < 5
+
+
+def kept(text):
+    return " ".join(line for line, _, gone in page.blocks(text) if not gone)
+
+
+def test_comments_and_forms_go_at_any_length():
+    story = "<p>" + " ".join(f"Sentence {k} of the story." for k in range(10)) + "</p>"
+    talk = "".join(f"<p>Reader {k} says that and more.</p>" for k in range(60))
+    for name in ("comments", "user-comments", "reader-feedback", "comment-list", "disqus_thread"):
+        assert kept(f"<body><article>{story}<div class='{name}'>{talk}</div></article></body>") == kept(story)
+        assert kept(f"<body><article>{story}</article><section id='{name}'>{talk}</section></body>") == kept(story)
+    assert kept(f"<body><article>{story}<article class='comment'>{talk}</article></article></body>") == kept(story)
+    assert kept(f"<body><article><p>Short.</p></article><form class='newsletter'>{'Sign up now. ' * 90}</form></body>") == "Short."
+    assert kept(f"<body><form id='all'><article>{story}</article></form></body>") == kept(story)
+    assert kept("<article><p>So <math><mi>x</mi></math> is <object>drawn</object></p></article>") == "So x is drawn"
+
+
+def test_quotes_hold_a_tag_s_end_only_behind_an_equals_sign():
+    assert kept("<p title = 'a>b' class=\"c>d\">one</p>") == "one" and kept('<p "x>two</p>') == "two" and kept("<p a='x>three") == "three"
+    assert kept("one < two <three") == "one < two <three" and kept("1<!-- > -->2<![CDATA[ > ]]>3") == "123"
