@@ -47,6 +47,18 @@ def lineage(ids: Column | str) -> Column:
     return F.sha2(F.array_join(F.array_sort(F.collect_list(ids)), "|"), 256)
 
 
+def canonical_json(c: Column | str) -> Column:
+    """The same text for equal JSON: keys sorted at every depth, no spaces, numbers in their shortest form (a number with an exponent
+    keeps a decimal point). Text that isn't JSON, or has a key twice, stays as it is."""
+    text = F.col(c) if isinstance(c, str) else c
+    return F.coalesce(F.to_json(F.try_parse_json(text)), text)
+
+
+def rejected_id(source: Column | str, raw_json: Column | str) -> Column:
+    """Id of a source record that became no event: the same for the same content, however its text is spaced and ordered."""
+    return F.concat(F.lit("rejected:"), F.sha2(F.concat(F.col(source) if isinstance(source, str) else source, canonical_json(raw_json)), 256))
+
+
 def place_key(c: Column | str) -> Column:
     """How names of places are compared."""
     return F.upper(F.trim(c))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.identity import event_id, joined
+from ..functions.identity import canonical_json, event_id, joined
 
 DECIMAL = "decimal(18,2)"
 
@@ -92,7 +92,7 @@ def weather(raw: DataFrame) -> DataFrame:
 
 
 def flood(features: DataFrame) -> DataFrame:
-    """GeoJSON features: properties (eventid, fromdate, todate, alertlevel) and geometry_json, the geometry's text."""
+    """GeoJSON features: properties (eventid, fromdate, todate, alertlevel) and geometry_json, the geometry's text, which becomes canonical."""
     p = F.col("properties")
     rows = features.withColumn("event_time", day(p["fromdate"]))
     faults = [
@@ -101,7 +101,7 @@ def flood(features: DataFrame) -> DataFrame:
     ]
     payload = F.struct(
         text(p["eventid"]).alias("source_event_id"), F.date_format("event_time", "yyyy-MM-dd'T'HH:mm:ssxxx").alias("event_start"), p["todate"].cast("string").alias("event_end"),
-        p["alertlevel"].cast("string").alias("alert_level"), "geometry_json",
+        p["alertlevel"].cast("string").alias("alert_level"), canonical_json("geometry_json").alias("geometry_json"),
     )
     return _envelope(rows, "flood_event", "gdacs", text(p["eventid"]), payload, faults)
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -96,6 +97,12 @@ def running_seasonal_baseline(spark, d):
     return rows.where("sample_size >= 5").select("event_id", "median_price", "mad", "sample_size")
 
 
+@query(f"WITH {PRICES_SQL} SELECT 'all' AS series, median(modal_price) AS median_price, count(*) AS sample_size, mad(modal_price) AS mad FROM prices")
+def one_series_median_mad(spark, d):
+    """All prices as one group, dealt out over tasks."""
+    return baseline.group_median_mad(prices(spark, d).select(F.lit("all").alias("series"), "modal_price"), ["series"], "modal_price", most=8192)
+
+
 _ANOMALY = "(p.modal_price - s.median_price) / s.median_price * 100 AS deviation_pct, CASE WHEN s.mad <> 0 THEN (p.modal_price - s.median_price) / (1.4826 * s.mad) END AS robust_z_score"
 
 
@@ -485,6 +492,18 @@ def point_in_polygon(spark, d):
     return geography.locate_points(points, areas, "p_partkey").select("p_partkey", "district_id", "mapping_status")
 
 
+@query("""SELECT p_partkey, s_suppkey FROM part JOIN supplier ON (p_size - s_nationkey) * (p_size - s_nationkey) + (p_partkey % 40 - s_suppkey % 40) * (p_partkey % 40 - s_suppkey % 40) <= 1.15 * 1.15""")
+def polygon_pairs_many_vertices(spark, d):
+    """Circles of 240 points each; by their radii two meet where the distance of their centres is at most 1.15."""
+    def circle(x, y, radius: float):
+        angle = lambda i: i * (2 * math.pi / 240)
+        return F.array(F.array(F.transform(F.sequence(F.lit(0), F.lit(239)), lambda i: F.array(x + radius * F.cos(angle(i)), y + radius * F.sin(angle(i))))))
+
+    a = table(spark, d, "part").select("p_partkey", circle(F.col("p_size"), F.col("p_partkey") % 40, 0.45).alias("geometry"))
+    b = table(spark, d, "supplier").select("s_suppkey", circle(F.col("s_nationkey"), F.col("s_suppkey") % 40, 0.7).alias("geometry"))
+    return geography.spatial_pairs(a, b, "p_partkey", "s_suppkey")
+
+
 _CONIC = geo.ConicIndia()
 
 
@@ -581,6 +600,17 @@ def forward_fill_one_file(spark, d):
     return quality.fill_context(rows, "file", "line", "market", "commodity", "part").drop("file", "line", "part")
 
 
+@query("""WITH g AS (SELECT c_custkey, '{"coordinates":[' || c_nationkey || '.5,' || c_custkey || '],"properties":{"name":"' || c_name || '","of":[' || c_nationkey || ',' || c_custkey || ',null]},"type":"Point"}' AS geometry FROM customer)
+  SELECT c_custkey, geometry, 'rejected:' || sha256('s' || geometry) AS rejected_id FROM g""")
+def canonical_geometry(spark, d):
+    """The same shapes in different orders of keys, spaces and forms of numbers."""
+    k, n, name = F.col("c_custkey"), F.col("c_nationkey"), F.col("c_name")
+    plain = F.format_string('{"type":"Point","coordinates":[%d.5,%d],"properties":{"of":[%d,%d,null],"name":"%s"}}', n, k, n, k, name)
+    spaced = F.format_string('{ "properties" : {"name": "%s", "of": [%d, %d.0, null]},\n "coordinates": [%d.50, %d.00],  "type":"Point" }', name, n, k, n, k)
+    raw = F.when(F.bit_count(k) > 4, spaced).otherwise(plain)
+    return table(spark, d, "customer").select("c_custkey", identity.canonical_json(raw).alias("geometry"), identity.rejected_id(F.lit("s"), raw).alias("rejected_id"))
+
+
 @query("SELECT l_suppkey, sha256(string_agg(k, '|' ORDER BY k)) AS lineage FROM (SELECT l_suppkey, CAST(l_orderkey AS VARCHAR) || '-' || l_linenumber AS k FROM lineitem) GROUP BY 1")
 def baseline_lineage_hash(spark, d):
     rows = table(spark, d, "lineitem").select("l_suppkey", F.concat_ws("-", "l_orderkey", "l_linenumber").alias("k"))

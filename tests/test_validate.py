@@ -92,3 +92,15 @@ def test_accepted_and_rejected_are_all(spark):
     raw = spark.createDataFrame([tuple((MANDI_RAW | {"Commodity": c}).values()) for c in ("a", "", None)], ", ".join(f"{c} string" for c in MANDI_RAW))
     rows = normalize.mandi(raw, price_unit="u")
     assert normalize.accepted(rows).count() == 1 and normalize.rejected(rows).count() == 2
+
+
+def test_canonical_json(spark):
+    from shockline.functions.identity import canonical_json, rejected_id
+
+    same = ['{"type":"Point","coordinates":[1.0, 2]}', '{ "coordinates" : [1,2.00],\n"type":"Point"}']
+    texts = [*same, '{"b":{"z":1,"a":[{"y":1,"x":"é"}]},"a":null}', '{"a":1,"a":2}', "{bad", None]
+    rows = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k int, t string")
+    got = [r.c for r in rows.select("k", canonical_json("t").alias("c")).orderBy("k").collect()]
+    assert got == ['{"coordinates":[1,2],"type":"Point"}'] * 2 + ['{"a":null,"b":{"a":[{"x":"é","y":1}],"z":1}}', '{"a":1,"a":2}', "{bad", None]
+    ids = [r.i for r in rows.select("k", rejected_id(F.lit("s"), "t").alias("i")).orderBy("k").collect()]
+    assert ids[0] == ids[1] and len(set(ids[:5])) == 4 and ids[5] is None
