@@ -15,7 +15,8 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,7 +24,8 @@ from pyspark.sql import functions as F
 CELL, TOP, MOST = 0.5, 6, 1024
 #: A border counts to a cell that it misses by so much of a cell's width, so that rounding loses none.
 MARGIN = 1e-9
-EDGE = "struct<ax: double, ay: double, bx: double, by: double>"
+#: ax, ay, bx, by.
+EDGE = "array<double>"
 SCHEMA = f"own boolean, level int, i long, j long, polygons array<struct<p: int, odd: boolean, edges: array<{EDGE}>>>, points array<struct<x: double, y: double>>, cost long"
 
 
@@ -32,7 +34,7 @@ NAMES = ("own", "level", "i", "j", "polygons", "points", "cost")
 
 def ring_edges(polygon: list) -> np.ndarray:
     """ax, ay, bx, by of a polygon's edges, in the order of its points; a ring of one point is an edge of no length."""
-    rings = [np.array([[float(c[0]), float(c[1])] for c in r]) for r in polygon if len(r)]
+    rings = [np.asarray(r, float)[:, :2] for r in polygon if len(r)]
     return np.concatenate([np.concatenate([r, np.roll(r, -1, axis=0)], axis=1) for r in rings]) if rings else np.empty((0, 4))
 
 
@@ -85,6 +87,7 @@ def corners(e: np.ndarray, size: float, i0: int, i1: int, j0: int, j1: int) -> n
 def cell_rows(geometry: list, size: float) -> Iterator[tuple]:
     """The rows of SCHEMA of one geometry."""
     shapes = [e for e in map(ring_edges, geometry) if len(e)]
+    lists: dict[int, list] = {}
     if not shapes:
         return
     every = np.concatenate(shapes)
@@ -98,10 +101,13 @@ def cell_rows(geometry: list, size: float) -> Iterator[tuple]:
     own = fits[0] if fits else TOP
     for level in range(own, TOP + 1):
         s, cells = size * 4.0**level, {}
+        m = MARGIN * s + far * 2.0**-50
+        one = (0, 0) if level == TOP else (int(np.floor(x0 / s)), int(np.floor(y0 / s)))
+        alone = level == TOP or (np.floor((x0 - m) / s), np.floor((x1 + m) / s), np.floor((y0 - m) / s), np.floor((y1 + m) / s)) == (one[0], one[0], one[1], one[1])
         for p, e in enumerate(shapes):
-            if level == TOP:
-                cells.setdefault((0, 0), ([], []))[0].append((p, False, e))
-                cells[0, 0][1].append((e[0, 0], e[0, 1]))
+            if alone:  # the whole shape is in one cell, and so is left of its right border
+                cells.setdefault(one, ([], []))[0].append((p, False, e))
+                cells[one][1].append((e[0, 0], e[0, 1]))
                 continue
             place, i, j = touched(e, s)
             odd = corners(e, s, i.min(), i.max(), j.min(), j.max())
@@ -118,16 +124,38 @@ def cell_rows(geometry: list, size: float) -> Iterator[tuple]:
             at = int(np.floor(e[0, 0] / s)), int(np.floor(e[0, 1] / s))
             cells.setdefault(at, ([], []))[1].append((e[0, 0], e[0, 1]))
         for (i, j), (polygons, points) in cells.items():
-            made = [{"p": p, "odd": odd, "edges": [dict(zip(("ax", "ay", "bx", "by"), x, strict=True)) for x in e.tolist()]} for p, odd, e in polygons]
+            made = []
+            for p, odd, e in polygons:
+                if e is shapes[p]:
+                    lists.setdefault(p, e.tolist())
+                made.append({"p": p, "odd": odd, "edges": lists[p] if e is shapes[p] else e.tolist()})
             yield level == own, level, i, j, made, [{"x": float(x), "y": float(y)} for x, y in points], 64 + 40 * sum(len(e) for _, _, e in polygons)
 
 
+def nested(shape: pa.ListScalar) -> list[list[np.ndarray]] | None:
+    """Polygons of rings of points from Arrow's flat numbers."""
+    if not shape.is_valid:
+        return None
+    out = []
+    for polygon in shape.values:
+        rings = []
+        for ring in polygon.values if polygon.is_valid else ():
+            sizes = pc.list_value_length(ring.values)
+            wide = pc.max(sizes).as_py() if ring.is_valid and len(sizes) else 0
+            even = wide and pc.min(sizes).as_py() == wide
+            rings.append(ring.values.flatten().to_numpy().reshape(-1, wide)[:, :2] if even else np.array([c[:2] for c in ring.as_py() or ()], float).reshape(-1, 2))
+        out.append(rings)
+    return out
+
+
 def cell_column(geometry: str | Column, size: float = CELL) -> Column:
     """An array with a struct of SCHEMA for each cell that a geometry (as parse_geojson gives it) touches; empty if it is null or not finite."""
 
-    @F.pandas_udf(f"array<struct<{SCHEMA}>>")
-    def cells(shapes: pd.Series) -> pd.Series:
-        return pd.Series([[] if g is None else [dict(zip(NAMES, r, strict=True)) for r in cell_rows(g, size)] for g in shapes])
+    kind = pa.list_(pa.struct([("own", pa.bool_()), ("level", pa.int32()), ("i", pa.int64()), ("j", pa.int64()), ("polygons", pa.list_(pa.struct([("p", pa.int32()), ("odd", pa.bool_()), ("edges", pa.list_(pa.list_(pa.float64())))]))), ("points", pa.list_(pa.struct([("x", pa.float64()), ("y", pa.float64())]))), ("cost", pa.int64())]))
+
+    @F.arrow_udf(f"array<struct<{SCHEMA}>>")
+    def cells(shapes: pa.Array) -> pa.Array:
+        return pa.array([[] if g is None else [dict(zip(NAMES, r, strict=True)) for r in cell_rows(g, size)] for g in map(nested, shapes)], kind)
 
     return cells(F.col(geometry) if isinstance(geometry, str) else geometry)
 
@@ -146,18 +174,18 @@ def matched(a: DataFrame, b: DataFrame, size: float = CELL) -> DataFrame:
 
 
 def _spans_height(e: Column, y: Column) -> Column:
-    return (e["ay"] > y) != (e["by"] > y)
+    return (e[1] > y) != (e[3] > y)
 
 
 def _left_of(e: Column, x: Column, y: Column) -> Column:
     """Whether a point is left of an edge that spans its height."""
-    return x < e["ax"] + (y - e["ay"]) * (e["bx"] - e["ax"]) / F.when(e["by"] != e["ay"], e["by"] - e["ay"]).otherwise(F.lit(1.0))
+    return x < e[0] + (y - e[1]) * (e[2] - e[0]) / F.when(e[3] != e[1], e[3] - e[1]).otherwise(F.lit(1.0))
 
 
 def _over(e: Column, x: Column, y: Column) -> Column:
     """Whether an edge that passes the vertical line just right of x does so over the point (x, y), in the sense of the other tests."""
-    rising = (e["bx"] > e["ax"]) == (e["by"] > e["ay"])
-    return F.when(_spans_height(e, y), _left_of(e, x, y) != rising).otherwise(e["ay"] > y)
+    rising = (e[2] > e[0]) == (e[3] > e[1])
+    return F.when(_spans_height(e, y), _left_of(e, x, y) != rising).otherwise(e[1] > y)
 
 
 def holds(polygon: Column, x: Column, y: Column, right: Column, bottom: Column) -> Column:
@@ -166,7 +194,7 @@ def holds(polygon: Column, x: Column, y: Column, right: Column, bottom: Column)
     right, bottom: the corner. From there up to the point's height, then left to the point: each edge on the way turns inside to outside.
     """
     along = lambda e: _spans_height(e, y) & (_left_of(e, x, y) != _left_of(e, right, y))
-    up = lambda e: ((e["ax"] > right) != (e["bx"] > right)) & (_over(e, right, y) != _over(e, right, bottom))
+    up = lambda e: ((e[0] > right) != (e[2] > right)) & (_over(e, right, y) != _over(e, right, bottom))
     turns = F.size(F.filter(polygon["edges"], along)) + F.size(F.filter(polygon["edges"], up))
     return (turns % 2 == 1) != polygon["odd"]
 
@@ -181,11 +209,12 @@ def corner(level: str | Column, i: str | Column, j: str | Column, size: float) -
 
 def _met(e: Column, f: Column) -> Column:
     """Whether two edges share a point, ends included; an edge of no length is a point."""
-    side = lambda o, x, y: F.signum((o["bx"] - o["ax"]) * (y - o["ay"]) - (o["by"] - o["ay"]) * (x - o["ax"]))
-    box = lambda o, x, y: x.between(F.least(o["ax"], o["bx"]), F.greatest(o["ax"], o["bx"])) & y.between(F.least(o["ay"], o["by"]), F.greatest(o["ay"], o["by"]))
+    side = lambda o, x, y: F.signum((o[2] - o[0]) * (y - o[1]) - (o[3] - o[1]) * (x - o[0]))
+    box = lambda o, x, y: x.between(F.least(o[0], o[2]), F.greatest(o[0], o[2])) & y.between(F.least(o[1], o[3]), F.greatest(o[1], o[3]))
     on = lambda o, x, y: (side(o, x, y) == 0) & box(o, x, y)
-    crossing = (side(e, f["ax"], f["ay"]) * side(e, f["bx"], f["by"]) < 0) & (side(f, e["ax"], e["ay"]) * side(f, e["bx"], e["by"]) < 0)
-    return crossing | on(e, f["ax"], f["ay"]) | on(e, f["bx"], f["by"]) | on(f, e["ax"], e["ay"]) | on(f, e["bx"], e["by"])
+    crossing = (side(e, f[0], f[1]) * side(e, f[2], f[3]) < 0) & (side(f, e[0], e[1]) * side(f, e[2], e[3]) < 0)
+    apart = lambda a, b: ((e[a] < f[a]) & (e[a] < f[b]) & (e[b] < f[a]) & (e[b] < f[b])) | ((e[a] > f[a]) & (e[a] > f[b]) & (e[b] > f[a]) & (e[b] > f[b]))
+    return ~apart(0, 2) & ~apart(1, 3) & (crossing | on(e, f[0], f[1]) | on(e, f[2], f[3]) | on(f, e[0], e[1]) | on(f, e[2], e[3]))
 
 
 def meet_in_cell(a: str, b: str, c: str, d: str, size: float) -> Column:
