@@ -15,6 +15,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 from html import unescape
 
 import numpy as np
@@ -69,6 +70,10 @@ def furniture(tag: str, attributes: str, inside: bool) -> tuple[bool, bool, bool
     return False, named, False
 
 
+#: Elements of a site look alike.
+known_furniture = lru_cache(1 << 15)(furniture)
+
+
 def blocks(html: str | None) -> list[tuple[str, bool, bool]]:
     """The page's lines in order: text, whether an article or main element holds it, whether furniture does.
 
@@ -94,7 +99,8 @@ def blocks(html: str | None) -> list[tuple[str, bool, bool]]:
     def leave(k: int) -> None:
         """Close the elements from this place in the stack on."""
         nonlocal own, junk, mark
-        open_tags.subtract(x[0] for x in stack[k:])
+        for x in stack[k:]:
+            open_tags[x[0]] -= 1
         del stack[k:]
         while blocks_open and blocks_open[-1] >= k:
             blocks_open.pop()
@@ -141,7 +147,7 @@ def blocks(html: str | None) -> list[tuple[str, bool, bool]]:
             continue
         if tag in ("p", "li") and blocks_open and stack[blocks_open[-1]][0] == tag:  # these end an open one of their kind
             leave(blocks_open[-1])
-        sure, named, comments = furniture(tag, m[2], own)
+        sure, named, comments = (known_furniture if len(m[2]) < 200 else furniture)(tag, m[2], own)
         junk = junk or sure
         if named and not junk:
             over.append(mark)
