@@ -13,6 +13,8 @@ from ..functions.identity import lineage
 from . import baseline, quality, signal
 
 SERIES = ["market", "commodity", "variety", "price_unit"]
+# Texts of the case document.
+PROVIDER = "Directorate of Marketing & Inspection (AGMARKNET 2.0)"
 CONTROL_STATUS = "unavailable_no_authoritative_unaffected_market_evidence"
 
 
@@ -70,9 +72,10 @@ def analyze(prices: DataFrame, shock: DataFrame, case: Case, confidence: Confide
     s = shock.select(F.col("event_id").alias("shock_id"), F.to_timestamp("event_start").alias("shock_time"), "geography_basis", F.col("inundated_area_hectares").cast("string").alias("hectares"), "source_url")
     found = found.crossJoin(F.broadcast(s))  # one row of the case, one shock
     after = F.datediff("day", F.to_date("shock_time"))
+    # The keys of the document's references.
     notes = {
         "environmental_event_id": F.col("shock_id"), "environmental_association": F.col("geography_basis"), "environmental_observed_inundation_hectares": F.col("hectares"), "environmental_source": F.col("source_url"),
-        "price_series_variety": F.col("variety"), "price_unit": F.col("price_unit"), "price_provider": F.lit("Directorate of Marketing & Inspection (AGMARKNET 2.0)"), "price_target_event_id": F.col("event_id"),
+        "price_series_variety": F.col("variety"), "price_unit": F.col("price_unit"), "price_provider": F.lit(PROVIDER), "price_target_event_id": F.col("event_id"),
         "baseline_period": F.lit(f"{case.history_first}:{case.history_last}"), "baseline_observations": F.col("sample_size").cast("string"), "baseline_event_ids_sha256": F.col("lineage"), "control_status": F.lit(CONTROL_STATUS),
     }
     found = found.withColumns({

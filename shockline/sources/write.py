@@ -162,17 +162,17 @@ class Publisher:
     producer: produce(topic, key=, value=, on_delivery=) and flush(seconds) -> messages still on their way.
     """
 
-    #: Settings for a broker's producer: no message twice, none lost.
-    SETTINGS = {"enable.idempotence": True, "acks": "all", "retries": 3, "delivery.timeout.ms": 30_000}
+    #: No message twice and none lost, which implies that all replicas acknowledge; the rest is the deployment's.
+    SETTINGS = {"enable.idempotence": True}
 
     def __init__(self, producer, wait: float = 10):
         self.producer, self.wait = producer, wait
 
     @classmethod
-    def to_broker(cls, servers: str) -> Publisher:
+    def to_broker(cls, servers: str, **settings: object) -> Publisher:
         from confluent_kafka import Producer  # where that library is installed
 
-        return cls(Producer({"bootstrap.servers": servers, **cls.SETTINGS}))
+        return cls(Producer({"bootstrap.servers": servers, **settings, **cls.SETTINGS}))
 
     def publish(self, topic: str, key: str, value: str) -> None:
         errors: list[object] = []
