@@ -35,6 +35,8 @@ ATTRIBUTE = re.compile(r"""([^\s=/]+)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s>]+))?""")
 SPACE = re.compile(r"\s+")
 #: Neighbours in path order that a page may be compared with, on each side.
 NEAR = 3
+#: Pairs of lines from which on it pays to leave out first what can't be common.
+LARGE = 1 << 16
 #: Near pages that must all have a line of an article for it to go.
 WITNESSES = 3
 # Element names of the HTML standard, and what sites call their furniture.
@@ -199,9 +201,10 @@ def common_lines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     if len(a) == 1:
         return np.concatenate([ends[0], np.array([lo] if (b == a[0]).any() else [], int), ends[1]])
 
-    places = lo + np.flatnonzero(np.isin(a, b))
-    if len(places) < len(a) or not np.isin(b, a).all():  # lines that the other page lacks are in no common subsequence
-        return np.concatenate([ends[0], places[common_lines(a[places - lo], b[np.isin(b, a)])], ends[1]])
+    if len(a) * len(b) > LARGE:  # lines that the other page lacks are in no common subsequence
+        places, other = lo + np.flatnonzero(np.isin(a, b)), b[np.isin(b, a)]
+        if len(places) < len(a) or len(other) < len(b):
+            return np.concatenate([ends[0], places[common_lines(a[places - lo], other)], ends[1]])
 
     def lengths(x: np.ndarray, y: np.ndarray) -> np.ndarray:
         row = np.zeros(len(y) + 1, np.int64)
