@@ -333,3 +333,16 @@ def test_comments_and_forms_go_at_any_length():
 def test_quotes_hold_a_tag_s_end_only_behind_an_equals_sign():
     assert kept("<p title = 'a>b' class=\"c>d\">one</p>") == "one" and kept('<p "x>two</p>') == "two" and kept("<p a='x>three") == "three"
     assert kept("one < two <three") == "one < two <three" and kept("1<!-- > -->2<![CDATA[ > ]]>3") == "123"
+
+
+def test_leaving_out_what_cannot_be_common_changes_nothing(monkeypatch):
+    r = np.random.default_rng(2)
+    for _ in range(200):
+        a, b = r.integers(0, 12, r.integers(0, 30)), r.integers(4, 20, r.integers(0, 30))
+        monkeypatch.setattr(page, "LARGE", 1 << 16)
+        plain = page.common_lines(a, b)
+        monkeypatch.setattr(page, "LARGE", 0)
+        other = page.common_lines(a, b)
+        assert len(other) == len(plain) and (np.diff(other) > 0).all()
+        places = iter(b.tolist())
+        assert all(v in places for v in a[other].tolist())  # in order in the other page
