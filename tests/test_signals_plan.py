@@ -21,6 +21,11 @@ def test_nothing_is_joined_behind_the_association(spark):
         assert "_slice" in joins(registry.queries()[name](spark, SF))[0], name
 
 
+def test_detail_associates_once(spark):
+    found = joins(registry.queries()["dashboard_detail"](spark, SF))
+    assert "_slice" in found[0] and sum("_slice" in j for j in found) == 1
+
+
 def test_levels_of_points_are_those_of_rounded_strengths(spark):
     p = SignalPolicy()
     sums = [b + k * 1e-3 + s for b in (p.high, p.medium, 0.0) for k in range(-12, 13) for s in (0.0, 1e-12, -1e-12, 4e-14, -4e-14)] + [None, 69.995, 39.995, 69.99499999999999, 69.99500000000001]
