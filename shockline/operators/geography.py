@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import geo
 from ..functions.identity import commodity_id, place_key
 from ..functions.scoring import rainfall_severity
+from ..scratch import written
 from . import cells
 
 #: Rows and bytes up to which a reference is broadcast.
@@ -96,11 +97,25 @@ def reported_flood_shocks(floods: DataFrame, boundaries: DataFrame) -> DataFrame
 def spatial_pairs(left: DataFrame, right: DataFrame, left_id: str, right_id: str, size: float = cells.CELL) -> DataFrame:
     """(left_id, right_id) of geometries that share a point. Both have geometry (as parse_geojson gives it).
 
-    An equi-join of the two cell indexes; a pair is compared by the edges of the cells that both touch.
+    An equi-join of the two cell indexes; a pair is compared by the edges of the cells that both touch. Equal shapes are
+    compared once: what meets are shapes, then sets of shapes (of an id that comes with several), and then ids, each pair of
+    which comes once, so the pairs themselves are never shuffled.
     """
-    a = cells.indexed(left.select(left_id, "geometry"), size=size, prefix="a_")
-    b = cells.indexed(right.select(right_id, "geometry"), size=size, prefix="b_")
-    return cells.matched(a, small(b, cost="b_cost"), size).select(left_id, right_id).distinct()
+    (a_ids, a), (b_ids, b) = _by_shape(left, left_id, "a", size), _by_shape(right, right_id, "b", size)
+    met = cells.matched(a, small(b, cost="b_cost"), size).select("a_shape", "b_shape").distinct()
+    for ids, side in ((a_ids, "a"), (b_ids, "b")):
+        sets = ids.select(f"{side}_set").distinct().withColumn(f"{side}_shape", F.explode(f"{side}_set"))
+        met = met.join(sets, f"{side}_shape").drop(f"{side}_shape").distinct()
+    met = written(met)
+    return a_ids.join(small(met), "a_set").drop("a_set").join(small(b_ids), "b_set").select(left_id, right_id)
+
+
+def _by_shape(rows: DataFrame, ident: str, side: str, size: float) -> tuple[DataFrame, DataFrame]:
+    """Each id with the set of its shapes' hashes, and the cell index of the shapes, each once."""
+    shape, made = f"{side}_shape", f"{side}_set"
+    keyed = rows.where("geometry is not null").select(ident, "geometry", F.unhex(F.sha2(F.to_json(F.struct("geometry")), 256)).alias(shape))
+    ids = keyed.groupBy(ident).agg(F.array_sort(F.collect_set(shape)).alias(made))
+    return written(ids), cells.indexed(keyed.select(shape, "geometry").distinct(), size=size, prefix=f"{side}_")
 
 
 def _with_geometry(floods: DataFrame) -> DataFrame:
@@ -112,12 +127,18 @@ def _areas(boundaries: DataFrame) -> DataFrame:
 
 
 def geometry_flood_shocks(floods: DataFrame, boundaries: DataFrame, size: float = cells.CELL) -> DataFrame:
-    """A shock for each district that a flood's geometry meets. The flood's own columns ride along, so streams need no self-join."""
-    rows = _with_geometry(floods).where("geometry is not null").select("event_id", "event_time", "source_event_id", "geometry")
-    b = cells.indexed(_areas(boundaries), size=size, prefix="b_")
-    met = cells.matched(cells.indexed(rows, size=size, prefix="a_"), small(b, cost="b_cost"), size)
-    pair = ["event_id", "district_id"]
-    met = met.dropDuplicatesWithinWatermark(pair) if met.isStreaming else met.dropDuplicates(pair)
+    """A shock for each district that a flood's geometry meets. On streams the flood's own columns ride along, so they need no
+    self-join; in a batch equal texts are parsed and compared once."""
+    b = small(cells.indexed(_areas(boundaries), size=size, prefix="b_"), cost="b_cost")
+    pair, own = ["event_id", "district_id"], ["event_id", "event_time", "source_event_id"]
+    if floods.isStreaming:
+        rows = _with_geometry(floods).where("geometry is not null").select(*own, "geometry")
+        met = cells.matched(cells.indexed(rows, size=size, prefix="a_"), b, size).dropDuplicatesWithinWatermark(pair)
+    else:
+        rows = floods.where("geometry_json is not null").select(*own, "geometry_json", F.unhex(F.sha2("geometry_json", 256)).alias("_shape"))
+        shapes = _with_geometry(rows.select("_shape", "geometry_json").distinct()).where("geometry is not null").select("_shape", "geometry")
+        areas = cells.matched(cells.indexed(shapes, size=size, prefix="a_"), b, size).select("_shape", "district_id").distinct()
+        met = rows.drop("geometry_json").join(small(written(areas)), "_shape").dropDuplicates(pair)
     return _shock(met, "flood", F.col("event_time"), "spatial_geometry_intersects", F.lit(None), "source_event_id")
 
 

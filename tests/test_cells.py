@@ -98,3 +98,21 @@ def test_broadcasts_are_checked_by_bytes(spark):
     rows = spark.range(10).withColumn("text", F.repeat(F.lit("x"), F.lit(1000)))
     plan = lambda df: df._jdf.queryExecution().logical().toString()
     assert "Hint broadcast" in plan(geography.small(rows)) and "Hint broadcast" not in plan(geography.small(rows, most_bytes=5000)) and "Hint broadcast" not in plan(geography.small(rows, most=9))
+
+
+def test_equal_shapes_are_compared_once(spark, monkeypatch):
+    """Forty ids with two shapes, one id with both of them and one without any: the index has each shape once, and each pair comes once."""
+    x, y = circle(12, 1.0), circle(12, 1.0, 1.5)
+    made = [(k, (x, y)[k % 2]) for k in range(40)] + [(100, x), (100, y), (101, None)]
+    rows = spark.createDataFrame(made, "a int, geometry array<array<array<array<double>>>>")
+    counted, kept = [], cells.indexed
+    monkeypatch.setattr(cells, "indexed", lambda df, *args, **named: counted.append(df.count()) or kept(df, *args, **named))
+    got = [tuple(r) for r in geography.spatial_pairs(rows, rows.withColumnRenamed("a", "b"), "a", "b").collect()]
+    ids = [*range(40), 100]
+    assert sorted(got) == [(i, j) for i in ids for j in ids] and counted == [2, 2]
+    shape = '{"type":"Point","coordinates":[0.5,0.5]}'
+    floods = spark.createDataFrame([(str(k), shape if k % 4 else "{") for k in range(40)], "event_id string, geometry_json string").selectExpr("*", "timestamp'2024-01-01' as event_time", "'s' as source_event_id")
+    areas = spark.createDataFrame([("d", '{"type":"Polygon","coordinates":[[[0,0],[1,0],[1,1],[0,1],[0,0]]]}')], "district_id string, geometry_json string")
+    counted.clear()
+    met = geography.geometry_flood_shocks(floods, areas).collect()
+    assert sorted(r.shock_id for r in met) == sorted(str(k) for k in range(40) if k % 4) and counted == [1, 1]
