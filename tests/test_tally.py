@@ -1,0 +1,66 @@
+"""Counts and means over pairs that aren't made, against the pairs themselves."""
+
+from __future__ import annotations
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from shockline.config import SignalPolicy
+from shockline.functions import scoring
+from shockline.operators import associate, quality, tally
+from shockline.plans import registry
+
+from .conftest import SF
+
+DAY = 86_400_000_000
+POLICY = SignalPolicy()
+BOUNDS = (scoring.least_points(POLICY.high), scoring.least_points(POLICY.medium))
+
+
+def drawn(rng, n, m, within_day):
+    """Shares with caps, repetitions and sums on and beside the borders of rounding."""
+    at = lambda k, days: rng.integers(0, days, k) * DAY + (rng.integers(0, DAY, k) if within_day else 0)
+    s = {"at": np.sort(at(m, 20)), "share": np.round(rng.choice([20.0, 0.0, 10.005, *rng.uniform(0, 20, 9)], m), 3)}
+    s |= {"end": s["at"] + 14 * DAY, "day": s["at"] // DAY}
+    p = {"at": np.sort(at(n, 20) + 3 * DAY), "share0": rng.choice([30.0, 0.0, *rng.uniform(0, 30, 40)], n), "share1": rng.choice([20.0, 0.0, *np.round(rng.uniform(0, 20, 9), 3)], n), "share2": rng.choice([0.0, 0.005], n)}
+    return s, p | {"day": p["at"] // DAY}
+
+
+def plain(s, p):
+    out = np.zeros((4, len(p["at"])), np.int64)
+    for i in range(len(p["at"])):
+        j = (s["at"] <= p["at"][i]) & (p["at"][i] <= s["end"])
+        x = s["share"][j] + p["share0"][i] + p["share1"][i] + POLICY.temporal * np.maximum(0.0, 1 - (p["day"][i] - s["day"][j]) / 14.0) + p["share2"][i]
+        out[:, i] = [len(x), *((x >= b).sum() for b in BOUNDS), tally.hundredths(x).sum() if len(x) else 0]
+    return out
+
+
+@pytest.mark.parametrize("within_day", [False, True])
+@pytest.mark.parametrize("pairs", [1, 50, tally.PAIRS])
+def test_searches_equal_pairs(monkeypatch, within_day, pairs):
+    monkeypatch.setattr(tally, "PAIRS", pairs)  # with few pairs everything is searched
+    for seed in range(4):
+        s, p = drawn(np.random.default_rng(seed), 150, 120, within_day)
+        assert (tally.per_price(s, p, POLICY, BOUNDS, True) == plain(s, p)).all()
+
+
+def test_hundredths_are_rounded_strengths(spark):
+    x = [0.005, 1.005, 2.675, 69.995, 69.99499999999999, 44.0, 10.125, 0.0]
+    got = spark.createDataFrame([(v,) for v in x], "v double").select(F.round("v", 2).alias("r")).collect()
+    assert [round(r.r * 100) for r in got] == tally.hundredths(np.array(x)).tolist()
+
+
+def test_queries_equal_their_pairs_in_small_blocks(spark, monkeypatch):
+    monkeypatch.setattr(associate, "BLOCK", 3)
+    got = {r.signal_level: r.n for r in registry.queries()["signal_level_counts"](spark, SF).collect()}
+    assert got == {r.signal_level: r["count"] for r in registry.signals(spark, SF).groupBy("signal_level").count().collect()}
+    want = quality.dashboard_metrics(registry.gold_rows(spark, SF), "replayed_historical").first()
+    assert registry.queries()["dashboard_metrics"](spark, SF).first() == pytest.approx(tuple(round(x, 6) for x in want), abs=2e-6)
+
+
+def test_no_pairs_are_made(spark):
+    for name in ("signal_level_counts", "dashboard_metrics"):
+        plan = registry.queries()[name](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+        top = plan[: plan.index("Join ")]
+        assert "MapInArrow" in top and "collect_list" in plan, name
